@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.clock import repair_arrival, utc_millis
+from tarmac.functions.clock import repair_arrival, with_utc_millis
 from tarmac.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, dimension_stats
 from tarmac.schema import FLIGHTS, FLIGHTS_RAW
 
@@ -31,20 +31,26 @@ def known_zone_ids() -> tuple[str, ...]:
     return tuple(sorted(set(zoneinfo.available_timezones()) | set(_EXTRA_ZONE_IDS)))
 
 
-def sanitize_zone(zone: F.Column, fallback: str = "UTC") -> F.Column:
+def sanitize_zone(column: str, fallback: str = "UTC") -> F.Column:
     """R1.5: an unknown non-null zone id is read as ``fallback`` (the JVM parser's
-    behaviour) instead of failing the job; offsets like ``-05:00`` pass through."""
+    behaviour) instead of failing the job; offsets like ``-05:00`` pass through.
+
+    Built as one SQL expression: the known-id set is a single literal set (one call
+    into the JVM while planning, a hash lookup per row while running).
+    """
     ids = known_zone_ids()
     if not ids:
-        return zone
-    is_offset = zone.rlike(r"^[+-]\d{2}:\d{2}$")
-    return F.when(zone.isNull() | zone.isin(*ids) | is_offset, zone).otherwise(F.lit(fallback))
+        return F.col(column)
+    known = ", ".join(f"'{z}'" for z in ids)
+    return F.expr(f"CASE WHEN `{column}` IS NULL OR `{column}` IN ({known}) "
+                  f"OR `{column}` RLIKE '^[+-][0-9]{{2}}:[0-9]{{2}}$' "
+                  f"THEN `{column}` ELSE '{fallback}' END")
 
 
 def zone_lookup(airports: DataFrame) -> DataFrame:
     """(IATA, TIMEZONE_CODE) of airports with a code (P-14), zone ids sanitized."""
     return (airports.filter(F.col("IATA").isNotNull())
-            .select("IATA", sanitize_zone(F.col("TIMEZONE_CODE")).alias("TIMEZONE_CODE")))
+            .select("IATA", sanitize_zone("TIMEZONE_CODE").alias("TIMEZONE_CODE")))
 
 
 def prepared_lookup(airports: DataFrame, *, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
@@ -81,13 +87,12 @@ def enrich_flights(flights_raw: DataFrame, airports: DataFrame, *, how: str = "l
     """
     lookup = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows)
     zoned = attach_zones(flights_raw, lookup, how)
-    dep = utc_millis("FL_DATE", "DEP_TIME", "ORIGIN_TIMEZONE_CODE",
-                     null_sentinels=null_sentinels, on_error=on_error)
-    arr = utc_millis("FL_DATE", "ARR_TIME", "DEST_TIMEZONE_CODE",
-                     null_sentinels=null_sentinels, on_error=on_error)
-    staged = zoned.select(*FLIGHTS_RAW.fieldNames(), "ORIGIN_TIMEZONE_CODE",
-                          dep.alias("DEP_TIME_UTC_MS"), "DEST_TIMEZONE_CODE",
-                          arr.alias("ARR_TIME_UTC_MS_TMP"))
+    timed = with_utc_millis(zoned, [
+        ("DEP_TIME_UTC_MS", "FL_DATE", "DEP_TIME", "ORIGIN_TIMEZONE_CODE"),
+        ("ARR_TIME_UTC_MS_TMP", "FL_DATE", "ARR_TIME", "DEST_TIMEZONE_CODE"),
+    ], null_sentinels=null_sentinels, on_error=on_error)
+    staged = timed.select(*FLIGHTS_RAW.fieldNames(), "ORIGIN_TIMEZONE_CODE", "DEP_TIME_UTC_MS",
+                          "DEST_TIMEZONE_CODE", "ARR_TIME_UTC_MS_TMP")
     fixed = repair_arrival("DEP_TIME_UTC_MS", "ARR_TIME_UTC_MS_TMP", "ORIGIN_TIMEZONE_CODE",
                            "DEST_TIMEZONE_CODE", "DEP_TIME", "ARR_TIME")
     return staged.withColumn("ARR_TIME_UTC_MS", fixed)

@@ -41,12 +41,14 @@ CLOCK_CHANGE_FALL = "2012-11-04"     # k % 40 == 1
 BASE_DATE = "2012-01-01"             # + k % 60 days otherwise
 
 
-def _lit_array(values, cast: str) -> F.Column:
-    return F.array(*[F.lit(v).cast(cast) for v in values])
+def _sql_value(v) -> str:
+    return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
 
 
 def _pick(values, index: F.Column, cast: str) -> F.Column:
-    return F.element_at(_lit_array(values, cast), index + 1)
+    """values[index] — the list is one SQL array literal (a single call into the JVM)."""
+    arr = F.expr(f"CAST(array({', '.join(_sql_value(v) for v in values)}) AS array<{cast}>)")
+    return F.element_at(arr, index + 1)
 
 
 def flights_raw_from_orders(orders: DataFrame) -> DataFrame:
