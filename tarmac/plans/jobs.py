@@ -50,10 +50,10 @@ def load(spark: SparkSession, flights_csv: str, airports_csv: str, out: Version,
     raw = read_flights_csv(spark, flights_csv)
     airports = read_airports_csv(spark, airports_csv)
     obs = Observation("load")
-    flights = build_flights(raw, airports, dedupe=dedupe).observe(
+    flights = build_flights(raw, airports, dedupe=dedupe)
+    write_table(flights, out.path(FLIGHTS_TABLE), FLIGHTS_TABLE, observe=(
         obs, F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.unix_millis("dep_time") == 0, 1)).alias("dep_sentinels"))
-    write_table(flights, out.path(FLIGHTS_TABLE), FLIGHTS_TABLE)
+        F.count(F.when(F.unix_millis("dep_time") == 0, 1)).alias("dep_sentinels")))
     return {k: int(v) for k, v in obs.get.items()}
 
 

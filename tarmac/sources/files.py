@@ -90,14 +90,16 @@ def read_table(spark: SparkSession, path: str, table: KeyedTable,
 
 
 def write_table(df: DataFrame, path: str, table: KeyedTable,
-                files_per_partition_hint: int | None = None) -> None:
+                files_per_partition_hint: int | None = None,
+                observe: tuple | None = None) -> None:
     """S-06/S-08/S-10. Write one full version of a keyed table with its layout.
 
     Rows are range-partitioned on (partition columns, clustering columns) before the
     write: a hot partition value (one origin holding a third of all rows) is split
     across many tasks by its clustering column instead of landing in one task, and
     each task writes few directories with rows already in clustering order (min/max
-    row-group skipping on range filters).
+    row-group skipping on range filters). ``observe`` = (Observation, *metric columns)
+    collects row metrics during the write itself.
     """
     out = df.select(*table.columns)
     order = list(table.partition_by) + list(table.cluster_by)
@@ -107,6 +109,11 @@ def write_table(df: DataFrame, path: str, table: KeyedTable,
         else:
             out = out.repartitionByRange(*order)
         out = out.sortWithinPartitions(*order)
+    if observe:
+        # After the range exchange: the boundary-sampling job does not run this node,
+        # so each row is counted exactly once.
+        observation, *metrics = observe
+        out = out.observe(observation, *metrics)
     writer = out.write.mode("errorifexists")
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
