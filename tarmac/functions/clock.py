@@ -78,44 +78,23 @@ def utc_millis(date_col, time_col, zone_col, *, null_sentinels: bool = False,
     ``zone_col`` may hold region ids (``America/New_York``) or offsets (``-05:00``).
     Independent of the session time zone: the wall clock is encoded as a UTC
     timestamp and shifted with ``to_utc_timestamp``/``from_utc_timestamp``.
+
+    Written branch-free so that Spark's common-subexpression elimination evaluates
+    the wall clock and each zone conversion once per row, also where the optimizer
+    copies the expression into a pushed-down filter: the repeated-hour choice is
+    ``earlier + 1h * (0 or 1)`` and the missing-input sentinel is a ``coalesce``
+    fallback (the instant is null exactly when an input is null or unparseable).
     """
     date_c, time_c, zone_c = _c(date_col), _c(time_col), _c(zone_col)
     wall = local_wall_millis(date_c, time_c, on_error)
-    wall_ts = F.timestamp_millis(wall)
-    earlier = F.unix_millis(F.to_utc_timestamp(wall_ts, zone_c))
-    later = earlier + HOUR_MS
+    earlier = F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(wall), zone_c))
     # Repeated hour: if one hour later still shows the same wall clock, take it.
-    same_wall = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(later), zone_c)) == wall
-    instant = F.when(same_wall, later).otherwise(earlier)
+    later_same = (F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(earlier + HOUR_MS), zone_c))
+                  == wall).cast("long")
+    instant = earlier + later_same * HOUR_MS
     missing = date_c.isNull() | time_c.isNull() | zone_c.isNull()
     sentinel = F.lit(None).cast("long") if null_sentinels else F.lit(0).cast("long")
-    return F.when(missing, sentinel).otherwise(instant)
-
-
-def with_utc_millis(df: DataFrame, specs: list[tuple[str, str, str, str]], *,
-                    null_sentinels: bool = False, on_error: str = "fail") -> DataFrame:
-    """R1 for several (output, date, time, zone) column sets, as staged projections.
-
-    Same result as :func:`utc_millis`, planned for throughput: the wall clock, the
-    earlier instant and the final choice are separate projections, so every zone
-    conversion runs exactly once per row (inside one conditional expression Spark
-    cannot share sub-results between branches). Catalyst keeps the stages apart
-    because merging them would repeat the non-trivial expressions.
-    """
-    wall = {o: f"__wall_{o}" for o, *_ in specs}
-    early = {o: f"__early_{o}" for o, *_ in specs}
-    s1 = df.select("*", *[local_wall_millis(d, t, on_error).alias(wall[o]) for o, d, t, _ in specs])
-    s2 = s1.select("*", *[F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(wall[o]), F.col(z)))
-                          .alias(early[o]) for o, _, _, z in specs])
-    sentinel = F.lit(None).cast("long") if null_sentinels else F.lit(0).cast("long")
-    outs = []
-    for o, d, t, z in specs:
-        e, w = F.col(early[o]), F.col(wall[o])
-        later = e + HOUR_MS
-        same_wall = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(later), F.col(z))) == w
-        missing = F.col(d).isNull() | F.col(t).isNull() | F.col(z).isNull()
-        outs.append(F.when(missing, sentinel).when(same_wall, later).otherwise(e).alias(o))
-    return s2.select(*df.columns, *outs)
+    return F.coalesce(instant, F.when(missing, sentinel))
 
 
 def clock_number(time_col) -> Column:
@@ -133,9 +112,11 @@ def repair_arrival(dep_ms, arr_ms, origin_zone, dest_zone, dep_clock, arr_clock)
                 & _c(dest_zone).eqNullSafe(F.lit(DATELINE_DEST_ZONE)))
     keep = F.coalesce((clock_number(dep_clock) > DATELINE_LATE_DEPARTURE)
                       & (clock_number(arr_clock) < DATELINE_EARLY_ARRIVAL), F.lit(False))
-    return (F.when(dateline, F.when(keep, arr).otherwise(arr - DAY_MS))
-            .when(arr < dep, arr + DAY_MS)
-            .otherwise(arr))
+    # Day shift in {-1, 0, +1}; the instants appear outside the branches, so Spark
+    # computes them once per row.
+    before = (arr < dep).cast("long")
+    shift = F.when(dateline, F.when(keep, F.lit(0)).otherwise(F.lit(-1))).otherwise(before)
+    return arr + shift * DAY_MS
 
 
 def epoch_seconds(ts_col) -> Column:

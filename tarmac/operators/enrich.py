@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.clock import repair_arrival, with_utc_millis
+from tarmac.functions.clock import repair_arrival, utc_millis
 from tarmac.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, dimension_stats
 from tarmac.schema import FLIGHTS, FLIGHTS_RAW
 
@@ -87,15 +87,16 @@ def enrich_flights(flights_raw: DataFrame, airports: DataFrame, *, how: str = "l
     """
     lookup = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows)
     zoned = attach_zones(flights_raw, lookup, how)
-    timed = with_utc_millis(zoned, [
-        ("DEP_TIME_UTC_MS", "FL_DATE", "DEP_TIME", "ORIGIN_TIMEZONE_CODE"),
-        ("ARR_TIME_UTC_MS_TMP", "FL_DATE", "ARR_TIME", "DEST_TIMEZONE_CODE"),
-    ], null_sentinels=null_sentinels, on_error=on_error)
-    staged = timed.select(*FLIGHTS_RAW.fieldNames(), "ORIGIN_TIMEZONE_CODE", "DEP_TIME_UTC_MS",
-                          "DEST_TIMEZONE_CODE", "ARR_TIME_UTC_MS_TMP")
-    fixed = repair_arrival("DEP_TIME_UTC_MS", "ARR_TIME_UTC_MS_TMP", "ORIGIN_TIMEZONE_CODE",
-                           "DEST_TIMEZONE_CODE", "DEP_TIME", "ARR_TIME")
-    return staged.withColumn("ARR_TIME_UTC_MS", fixed)
+    dep = utc_millis("FL_DATE", "DEP_TIME", "ORIGIN_TIMEZONE_CODE",
+                     null_sentinels=null_sentinels, on_error=on_error)
+    arr = utc_millis("FL_DATE", "ARR_TIME", "DEST_TIMEZONE_CODE",
+                     null_sentinels=null_sentinels, on_error=on_error)
+    fixed = repair_arrival(dep, arr, "ORIGIN_TIMEZONE_CODE", "DEST_TIMEZONE_CODE",
+                           "DEP_TIME", "ARR_TIME")
+    # One projection: shared sub-expressions (each conversion) are evaluated once.
+    return zoned.select(*FLIGHTS_RAW.fieldNames(), "ORIGIN_TIMEZONE_CODE",
+                        dep.alias("DEP_TIME_UTC_MS"), "DEST_TIMEZONE_CODE",
+                        arr.alias("ARR_TIME_UTC_MS_TMP"), fixed.alias("ARR_TIME_UTC_MS"))
 
 
 def unmatched_airports(flights_raw: DataFrame, airports: DataFrame,

@@ -22,9 +22,9 @@ from tarmac.operators.enrich import enrich_flights, to_flights_table
 from tarmac.operators.keyed import dedupe_keys
 from tarmac.plans import insights
 from tarmac.plans.replace import SOURCE_CODE, TARGET_CODE, replace_code
-from tarmac.schema import AIRTIME_TABLE, DEPARTURES_TABLE, FLIGHTS_TABLE
+from tarmac.schema import AIRTIME_TABLE, DEPARTURES_TABLE, ENRICHED_TABLE, FLIGHTS_TABLE
 from tarmac.sources.files import (
-    read_airports_csv, read_flights_csv, read_table, table_path, write_table,
+    materialize, read_airports_csv, read_flights_csv, read_table, table_path, write_table,
 )
 
 
@@ -45,12 +45,22 @@ class Version:
 
 
 def load(spark: SparkSession, flights_csv: str, airports_csv: str, out: Version,
-         dedupe: bool = True) -> dict[str, int]:
-    """Program 1: read the two CSV inputs, enrich, write ``flights``. Returns row metrics."""
+         dedupe: bool = True, keep_enriched: bool = False) -> dict[str, int]:
+    """Program 1: read the two CSV inputs, enrich, write ``flights``. Returns row metrics.
+
+    ``keep_enriched`` also writes the enrichment (zones, local clocks, UTC ms) as the
+    ``flights_enriched`` staging table, which the checks and the audit then read; the
+    base table is built from that stored copy, so the conversion still runs once.
+    """
     raw = read_flights_csv(spark, flights_csv)
     airports = read_airports_csv(spark, airports_csv)
     obs = Observation("load")
-    flights = build_flights(raw, airports, dedupe=dedupe)
+    if keep_enriched:
+        staged = materialize(enrich_flights(raw, airports), out.path(ENRICHED_TABLE))
+        flights = to_flights_table(staged)
+        flights = dedupe_keys(flights, FLIGHTS_TABLE.keys) if dedupe else flights
+    else:
+        flights = build_flights(raw, airports, dedupe=dedupe)
     write_table(flights, out.path(FLIGHTS_TABLE), FLIGHTS_TABLE, observe=(
         obs, F.count(F.lit(1)).alias("rows"),
         F.count(F.when(F.unix_millis("dep_time") == 0, 1)).alias("dep_sentinels")))
@@ -64,6 +74,11 @@ def downstream(spark: SparkSession, src: Version, out: Version) -> None:
     write_table(flights_airtime(flights), out.path(AIRTIME_TABLE), AIRTIME_TABLE)
 
 
+def enriched_table(spark: SparkSession, at: Version) -> DataFrame:
+    """The staging table written by ``load(keep_enriched=True)`` (input of the checks)."""
+    return read_table(spark, at.path(ENRICHED_TABLE), ENRICHED_TABLE)
+
+
 def tables(spark: SparkSession, flights_at: Version, derived_at: Version) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (read_table(spark, flights_at.path(FLIGHTS_TABLE), FLIGHTS_TABLE),
             read_table(spark, derived_at.path(AIRTIME_TABLE), AIRTIME_TABLE),

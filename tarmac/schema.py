@@ -110,6 +110,16 @@ FLIGHTS_AIRTIME = _struct([
 ])
 
 
+# Staging layout of the enrichment: the raw columns plus zones and UTC milliseconds.
+FLIGHTS_ENRICHED = T.StructType(FLIGHTS_RAW.fields + [
+    T.StructField("ORIGIN_TIMEZONE_CODE", T.StringType(), True),
+    T.StructField("DEP_TIME_UTC_MS", T.LongType(), True),
+    T.StructField("DEST_TIMEZONE_CODE", T.StringType(), True),
+    T.StructField("ARR_TIME_UTC_MS_TMP", T.LongType(), True),
+    T.StructField("ARR_TIME_UTC_MS", T.LongType(), True),
+])
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A stored table: schema, primary key, and its physical layout on write.
@@ -137,4 +147,8 @@ AIRTIME_TABLE = KeyedTable("flights_airtime", FLIGHTS_AIRTIME,
                            keys=("fl_num", "air_time_bucket", "id"),
                            cluster_by=("fl_num", "air_time_bucket", "id"))
 
-TABLES = {t.name: t for t in (FLIGHTS_TABLE, DEPARTURES_TABLE, AIRTIME_TABLE)}
+# Not keyed by the original store: a staging table the checks and the audit read, so
+# the zone conversion runs once per load instead of once per check.
+ENRICHED_TABLE = KeyedTable("flights_enriched", FLIGHTS_ENRICHED, keys=("ID",))
+
+TABLES = {t.name: t for t in (FLIGHTS_TABLE, DEPARTURES_TABLE, AIRTIME_TABLE, ENRICHED_TABLE)}

@@ -118,3 +118,14 @@ def write_table(df: DataFrame, path: str, table: KeyedTable,
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     writer.parquet(path)
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet under ``path`` (a shared folder) and read it back.
+
+    The lineage cut for results used by several downstream queries: later filters run
+    against the stored columns instead of being pushed into (and re-evaluating) the
+    expressions that produced them, and a lost executor recomputes nothing upstream.
+    """
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -55,8 +55,11 @@ def test_three_programs_end_to_end(spark, scratch):
     write_airports_csv(airports, ap)
     root = scratch("warehouse")
     v1, v2 = jobs.Version(root, 1), jobs.Version(root, 2)
-    metrics = jobs.load(spark, fp, ap, v1)
+    metrics = jobs.load(spark, fp, ap, v1, keep_enriched=True)
     assert metrics["rows"] == raw.count()
+    staged = jobs.enriched_table(spark, v1)
+    audit = registry.insights.delay_audit(staged)
+    assert sorted(audit.collect()) == sorted(registry.q08(spark, SF_SMALL).collect())
     jobs.downstream(spark, v1, v1)
     answers = {k: df.collect() for k, df in jobs.questions(spark, v1, v1).items()}
     expected = {k: fn(spark, SF_SMALL).collect() for k, fn in
