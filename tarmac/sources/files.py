@@ -90,28 +90,27 @@ def read_table(spark: SparkSession, path: str, table: KeyedTable,
 
 
 def write_table(df: DataFrame, path: str, table: KeyedTable,
-                files_per_partition_hint: int | None = None,
                 observe: tuple | None = None) -> None:
     """S-06/S-08/S-10. Write one full version of a keyed table with its layout.
 
-    Rows are range-partitioned on (partition columns, clustering columns) before the
-    write: a hot partition value (one origin holding a third of all rows) is split
-    across many tasks by its clustering column instead of landing in one task, and
-    each task writes few directories with rows already in clustering order (min/max
-    row-group skipping on range filters). ``observe`` = (Observation, *metric columns)
-    collects row metrics during the write itself.
+    Directory-partitioned tables (``partition_by``) go through an adaptive
+    ``rebalance`` on the partition columns: AQE sizes the write tasks from the
+    shuffle's runtime statistics, splitting a hot value (one origin holding a third
+    of all rows) across many tasks and merging small ones, so files stay evenly
+    sized without a sampling pass over the input. Rows are then sorted within each
+    task by (partition, clustering) columns: few files per directory, clustering
+    order inside each file (min/max row-group skipping on range filters). Tables
+    without directory partitioning keep their upstream partitioning (no extra
+    shuffle) and are only sorted within tasks. ``observe`` = (Observation, *metric
+    columns) collects row metrics during the write itself.
     """
     out = df.select(*table.columns)
+    if table.partition_by:
+        out = out.hint("rebalance", *table.partition_by)
     order = list(table.partition_by) + list(table.cluster_by)
     if order:
-        if files_per_partition_hint:
-            out = out.repartitionByRange(files_per_partition_hint, *order)
-        else:
-            out = out.repartitionByRange(*order)
         out = out.sortWithinPartitions(*order)
     if observe:
-        # After the range exchange: the boundary-sampling job does not run this node,
-        # so each row is counted exactly once.
         observation, *metrics = observe
         out = out.observe(observation, *metrics)
     writer = out.write.mode("errorifexists")

@@ -65,3 +65,12 @@ def test_stored_departures_prune_and_push_down(spark, scratch):
     plan2 = _plan(q2)
     # origin is the directory partition column: the prefix prunes directories.
     assert "PartitionFilters: [isnotnull(origin" in plan2 and "StartsWith(origin" in plan2
+
+
+def test_partitioned_write_uses_adaptive_rebalance(spark):
+    from tarmac.operators.derive import airport_departures
+    dep = airport_departures(registry.flights(spark, SF_SMALL))
+    out = dep.hint("rebalance", *DEPARTURES_TABLE.partition_by).sortWithinPartitions("origin", "dep_time", "id")
+    plan = _plan(out)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert spark.conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true"
