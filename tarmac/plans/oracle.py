@@ -338,4 +338,5 @@ SELECT iata, timezone_offset,
          || lpad(CAST(abs(timezone_offset) AS VARCHAR), 2, '0') || '00' END AS offset_text_signed
 FROM airports_src WHERE iata IS NOT NULL""",
     "csv_export_roundtrip": with_flights(f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
+    "stream_enrich_load": with_flights(f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
 }

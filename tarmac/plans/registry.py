@@ -21,6 +21,7 @@ from tarmac.operators.keyed import dedupe_keys, upsert
 from tarmac.plans import insights
 from tarmac.plans.jobs import build_flights
 from tarmac.plans.replace import replace_code
+from tarmac.schema import ENRICHED_TABLE
 from tarmac.session import scratch_path
 from tarmac.sources.files import (
     materialize, read_airports_csv, read_flights_csv, write_airports_csv, write_flights_csv,
@@ -205,6 +206,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return _lower(back)
 
 
+def q_stream_enrich_load(spark, sf_dir):
+    """Streaming form of the load: fixture flights as CSV files -> incremental,
+    checkpointed enrichment -> Parquet staging rows, read back when caught up."""
+    from tarmac.streaming import incremental_load
+    raw, airports = load_fixture(spark, sf_dir)
+    src = scratch_path(spark, "stream-in")
+    write_flights_csv(raw, src)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    query = incremental_load(spark, src, airports, out, ckpt)
+    query.awaitTermination()
+    return _lower(spark.read.schema(ENRICHED_TABLE.schema).parquet(out))
+
+
 QUERIES: dict[str, Query] = {
     "enrich_utc": q_enrich_utc,
     "enrich_inner": q_enrich_inner,
@@ -242,4 +256,5 @@ QUERIES: dict[str, Query] = {
     "upsert_partial_shuffle": _upsert(0),
     "tz_offset_text": q_tz_offset_text,
     "csv_export_roundtrip": q_csv_roundtrip,
+    "stream_enrich_load": q_stream_enrich_load,
 }
