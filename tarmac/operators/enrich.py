@@ -107,16 +107,19 @@ def unmatched_airports(flights_raw: DataFrame, airports: DataFrame,
                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """J-04 / C-07: flights whose origin or destination code has no airport row.
 
-    Two anti joins against the (checked, broadcast) lookup; one output row per
-    unmatched side: (id, side, code).
+    One pass over the flights: two left joins against the (checked, broadcast) code
+    list with a match marker, then one output row per unmatched side: (id, side, code).
     """
-    lookup = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows).select("IATA")
-    sides = []
-    for side, col in (("origin", "ORIGIN"), ("dest", "DEST")):
-        miss = flights_raw.join(lookup, flights_raw[col] == lookup["IATA"], "left_anti")
-        sides.append(miss.select(F.col("ID").alias("id"), F.lit(side).alias("side"),
-                                 F.col(col).alias("code")))
-    return sides[0].unionByName(sides[1])
+    codes = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows).select("IATA")
+    o = codes.select(F.col("IATA").alias("_o_iata"), F.lit(True).alias("_o_hit"))
+    d = codes.select(F.col("IATA").alias("_d_iata"), F.lit(True).alias("_d_hit"))
+    j = flights_raw.select("ID", "ORIGIN", "DEST")
+    j = j.join(o, j["ORIGIN"] == o["_o_iata"], "left").join(d, j["DEST"] == d["_d_iata"], "left")
+    side = lambda name, col, hit: F.when(F.col(hit).isNull(), F.struct(
+        F.col("ID").alias("id"), F.lit(name).alias("side"), F.col(col).alias("code")))
+    sides = F.array(side("origin", "ORIGIN", "_o_hit"), side("dest", "DEST", "_d_hit"))
+    misses = j.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("m"))
+    return misses.select("m.id", "m.side", "m.code")
 
 
 def to_flights_table(enriched: DataFrame) -> DataFrame:
