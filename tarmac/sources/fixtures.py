@@ -45,60 +45,59 @@ def _sql_value(v) -> str:
     return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
 
 
+def _sql_array(values, cast: str) -> str:
+    return f"CAST(array({', '.join(_sql_value(v) for v in values)}) AS array<{cast}>)"
+
+
 def _pick(values, index: F.Column, cast: str) -> F.Column:
     """values[index] — the list is one SQL array literal (a single call into the JVM)."""
-    arr = F.expr(f"CAST(array({', '.join(_sql_value(v) for v in values)}) AS array<{cast}>)")
-    return F.element_at(arr, index + 1)
+    return F.element_at(F.expr(_sql_array(values, cast)), index + 1)
 
 
 def flights_raw_from_orders(orders: DataFrame) -> DataFrame:
-    """One raw flight per order, in the raw-file layout (``schema.FLIGHTS_RAW``)."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    oi = (c % N_AIRPORTS).cast("int")
-    di = ((c + 1 + k % 24) % N_AIRPORTS).cast("int")
-    code = lambda i: _pick(AIRPORT_CODES, i, "string")
-    offset = lambda i: _pick(AIRPORT_OFFSETS, i, "int")
-    fl_date = (F.when(k % 40 == 0, F.lit(CLOCK_CHANGE_SPRING).cast("date"))
-               .when(k % 40 == 1, F.lit(CLOCK_CHANGE_FALL).cast("date"))
-               .otherwise(F.date_add(F.lit(BASE_DATE).cast("date"), (k % 60).cast("int"))))
-    minute = (37 * k + 11 * c) % 1440
-    elapsed = (60 + (7 * k) % 300).cast("int")
-    shift = F.when(k % 10 == 8, 60).when(k % 10 == 9, -60).otherwise(0)
-
-    def clock_text(m):
-        return (F.floor(m / 60) * 100 + m % 60).cast("long").cast("string")
-
-    base = orders.select(
-        k.alias("k"), c.alias("c"), oi.alias("oi"), di.alias("di"), fl_date.alias("fl_date"),
-        minute.alias("m"), elapsed.alias("el"), shift.alias("j"))
-    k, c, m, el = F.col("k"), F.col("c"), F.col("m"), F.col("el")
-    oi, di = F.col("oi"), F.col("di")
-    arr_minute = ((m + el + offset(di) - offset(oi) + F.col("j")) % 1440 + 1440) % 1440
-    air = (F.when(k % 31 == 0, el).when(k % 101 == 0, el + 5)
-           .otherwise(el - 10 - k % 20)).cast("int")
-    cols = {
-        "ID": k,
-        "YEAR": F.year("fl_date"),
-        "DAY_OF_MONTH": F.dayofmonth("fl_date") + F.when(k % 97 == 0, 1).otherwise(0),
-        "FL_DATE": F.col("fl_date"),
-        "AIRLINE_ID": 19000 + c % 20,
-        "CARRIER": _pick(CARRIER_CODES, (c % 5).cast("int"), "string"),
-        "FL_NUM": 1 + c % 900,
-        "ORIGIN_AIRPORT_ID": 10000 + oi,
-        "ORIGIN": code(oi),
-        "ORIGIN_CITY_NAME": F.concat(F.lit("City "), code(oi)),
-        "ORIGIN_STATE_ABR": F.substring(code(oi), 1, 2),
-        "DEST": code(di),
-        "DEST_CITY_NAME": F.concat(F.lit("City "), code(di)),
-        "DEST_STATE_ABR": F.substring(code(di), 1, 2),
-        "DEP_TIME": (F.when(k % 53 == 0, F.lit(None).cast("string"))
-                     .when(m == 0, F.lit("2400")).otherwise(clock_text(m))),
-        "ARR_TIME": F.when(k % 59 == 0, F.lit(None).cast("string")).otherwise(clock_text(arr_minute)),
-        "ACTUAL_ELAPSED_TIME": el,
-        "AIR_TIME": air,
-        "DISTANCE": 100 + (13 * k) % 2500,
+    """One raw flight per order, in the raw-file layout (``schema.FLIGHTS_RAW``).
+
+    Two narrow projections written as SQL expressions (planned in two calls).
+    """
+    codes, offs = _sql_array(AIRPORT_CODES, "string"), _sql_array(AIRPORT_OFFSETS, "int")
+    carriers = _sql_array(CARRIER_CODES, "string")
+    base = orders.selectExpr(
+        "o_orderkey AS k", "o_custkey AS c",
+        f"CAST(o_custkey % {N_AIRPORTS} AS INT) AS oi",
+        f"CAST((o_custkey + 1 + o_orderkey % 24) % {N_AIRPORTS} AS INT) AS di",
+        f"CASE WHEN o_orderkey % 40 = 0 THEN DATE'{CLOCK_CHANGE_SPRING}' "
+        f"WHEN o_orderkey % 40 = 1 THEN DATE'{CLOCK_CHANGE_FALL}' "
+        f"ELSE date_add(DATE'{BASE_DATE}', CAST(o_orderkey % 60 AS INT)) END AS fl_date",
+        "(37 * o_orderkey + 11 * o_custkey) % 1440 AS m",
+        "CAST(60 + (7 * o_orderkey) % 300 AS INT) AS el",
+        "CASE WHEN o_orderkey % 10 = 8 THEN 60 WHEN o_orderkey % 10 = 9 THEN -60 ELSE 0 END AS j")
+    code = lambda i: f"element_at({codes}, {i} + 1)"
+    off = lambda i: f"element_at({offs}, {i} + 1)"
+    am = f"(((m + el + {off('di')} - {off('oi')} + j) % 1440) + 1440) % 1440"
+    clock = lambda x: f"CAST(CAST(floor({x} / 60) * 100 + {x} % 60 AS BIGINT) AS STRING)"
+    exprs = {
+        "ID": "k",
+        "YEAR": "year(fl_date)",
+        "DAY_OF_MONTH": "dayofmonth(fl_date) + CASE WHEN k % 97 = 0 THEN 1 ELSE 0 END",
+        "FL_DATE": "fl_date",
+        "AIRLINE_ID": "19000 + c % 20",
+        "CARRIER": f"element_at({carriers}, CAST(c % 5 AS INT) + 1)",
+        "FL_NUM": "1 + c % 900",
+        "ORIGIN_AIRPORT_ID": "10000 + oi",
+        "ORIGIN": code("oi"),
+        "ORIGIN_CITY_NAME": f"concat('City ', {code('oi')})",
+        "ORIGIN_STATE_ABR": f"substring({code('oi')}, 1, 2)",
+        "DEST": code("di"),
+        "DEST_CITY_NAME": f"concat('City ', {code('di')})",
+        "DEST_STATE_ABR": f"substring({code('di')}, 1, 2)",
+        "DEP_TIME": f"CASE WHEN k % 53 = 0 THEN NULL WHEN m = 0 THEN '2400' ELSE {clock('m')} END",
+        "ARR_TIME": f"CASE WHEN k % 59 = 0 THEN NULL ELSE {clock(am)} END",
+        "ACTUAL_ELAPSED_TIME": "el",
+        "AIR_TIME": "CASE WHEN k % 31 = 0 THEN el WHEN k % 101 = 0 THEN el + 5 ELSE el - 10 - k % 20 END",
+        "DISTANCE": "100 + (13 * k) % 2500",
     }
-    return base.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in FLIGHTS_RAW.fields])
+    return base.selectExpr(*[f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+                             for f in FLIGHTS_RAW.fields])
 
 
 def airports_from_nation(nation: DataFrame) -> DataFrame:
