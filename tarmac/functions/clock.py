@@ -71,6 +71,24 @@ def local_wall_millis(date_col, time_col, on_error: str = "fail") -> Column:
             + hours * HOUR_MS + (clock - hours * 100) * MINUTE_MS)
 
 
+# An offset change within this window after the earlier reading is what a repeated
+# local hour looks like (clock shifts are at most a few hours, months apart).
+SHIFT_PROBE_MS = 3 * HOUR_MS
+
+
+def _offset_after(earlier: Column, zone: Column) -> Column:
+    """UTC offset (ms) in force ``SHIFT_PROBE_MS`` after the instant ``earlier``."""
+    probe = earlier + SHIFT_PROBE_MS
+    return F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(probe), zone)) - probe
+
+
+def _pick_later(wall: Column, earlier: Column, later: Column, zone: Column) -> Column:
+    """True when ``later`` is a second, later reading of the same wall clock (the
+    repeated hour when clocks go back, of whatever length)."""
+    return (later > earlier) & (
+        F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(later), zone)) == wall)
+
+
 def utc_millis(date_col, time_col, zone_col, *, null_sentinels: bool = False,
                on_error: str = "fail") -> Column:
     """F-01 / R1: local date + clock text + zone id -> UTC epoch milliseconds (long).
@@ -78,23 +96,19 @@ def utc_millis(date_col, time_col, zone_col, *, null_sentinels: bool = False,
     ``zone_col`` may hold region ids (``America/New_York``) or offsets (``-05:00``).
     Independent of the session time zone: the wall clock is encoded as a UTC
     timestamp and shifted with ``to_utc_timestamp``/``from_utc_timestamp``.
-
-    Written branch-free so that Spark's common-subexpression elimination evaluates
-    the wall clock and each zone conversion once per row, also where the optimizer
-    copies the expression into a pushed-down filter: the repeated-hour choice is
-    ``earlier + 1h * (0 or 1)`` and the missing-input sentinel is a ``coalesce``
-    fallback (the instant is null exactly when an input is null or unparseable).
+    ``to_utc_timestamp`` already shifts skipped clocks forward; for repeated clocks it
+    gives the earlier reading, so the later one is derived from the offset in force
+    just after and taken when it reads back to the same wall clock.
+    Single-column form; :func:`with_utc_millis` is the staged form used for throughput.
     """
     date_c, time_c, zone_c = _c(date_col), _c(time_col), _c(zone_col)
     wall = local_wall_millis(date_c, time_c, on_error)
     earlier = F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(wall), zone_c))
-    # Repeated hour: if one hour later still shows the same wall clock, take it.
-    later_same = (F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(earlier + HOUR_MS), zone_c))
-                  == wall).cast("long")
-    instant = earlier + later_same * HOUR_MS
+    later = wall - _offset_after(earlier, zone_c)
+    instant = F.when(_pick_later(wall, earlier, later, zone_c), later).otherwise(earlier)
     missing = date_c.isNull() | time_c.isNull() | zone_c.isNull()
     sentinel = F.lit(None).cast("long") if null_sentinels else F.lit(0).cast("long")
-    return F.coalesce(instant, F.when(missing, sentinel))
+    return F.when(missing, sentinel).otherwise(instant)
 
 
 def with_utc_millis(df: DataFrame, specs: list[tuple[str, str, str, str]], *,
@@ -102,25 +116,28 @@ def with_utc_millis(df: DataFrame, specs: list[tuple[str, str, str, str]], *,
     """R1 for several (output, date, time, zone) column sets, as staged projections.
 
     Same result as :func:`utc_millis`, planned for throughput: the wall clock, the
-    earlier instant and the final choice are separate projections, so every zone
-    conversion runs exactly once per row (inside one conditional expression Spark
-    cannot share sub-results between branches). Catalyst keeps the stages apart
-    because merging them would repeat the non-trivial expressions.
+    earlier reading, the offset just after it, and the final choice are separate
+    projections, so each zone conversion runs once per row (inside one conditional
+    expression Spark cannot share sub-results between branches). The read-back check
+    runs only for rows whose offset changes within the probe window. Catalyst keeps
+    the stages apart because merging them would repeat the non-trivial expressions.
     """
     wall = {o: f"__wall_{o}" for o, *_ in specs}
     early = {o: f"__early_{o}" for o, *_ in specs}
+    late = {o: f"__late_{o}" for o, *_ in specs}
     s1 = df.select("*", *[local_wall_millis(d, t, on_error).alias(wall[o]) for o, d, t, _ in specs])
     s2 = s1.select("*", *[F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(wall[o]), F.col(z)))
                           .alias(early[o]) for o, _, _, z in specs])
+    s3 = s2.select("*", *[(F.col(wall[o]) - _offset_after(F.col(early[o]), F.col(z))).alias(late[o])
+                          for o, _, _, z in specs])
     sentinel = F.lit(None).cast("long") if null_sentinels else F.lit(0).cast("long")
     outs = []
     for o, d, t, z in specs:
-        e, w = F.col(early[o]), F.col(wall[o])
-        later = e + HOUR_MS
-        same_wall = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(later), F.col(z))) == w
+        e, w, lt = F.col(early[o]), F.col(wall[o]), F.col(late[o])
         missing = F.col(d).isNull() | F.col(t).isNull() | F.col(z).isNull()
-        outs.append(F.when(missing, sentinel).when(same_wall, later).otherwise(e).alias(o))
-    return s2.select(*df.columns, *outs)
+        outs.append(F.when(missing, sentinel).when(_pick_later(w, e, lt, F.col(z)), lt)
+                    .otherwise(e).alias(o))
+    return s3.select(*df.columns, *outs)
 
 
 def clock_number(time_col) -> Column:
