@@ -45,6 +45,35 @@ def dedupe_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     return best.select(*[F.col(c) if c in keys else back[c] for c in df.columns])
 
 
+def dedupe_keys_measured(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
+                         descending: bool = False,
+                         max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """D-02 for a stored table (cheap to read twice): same result as :func:`dedupe_keys`.
+
+    First counts rows per key reading only the key columns (hash partial aggregation)
+    and measures how many keys repeat. None: the table is returned as is, no shuffle.
+    Up to ``max_broadcast_keys``: only rows of repeated keys are deduplicated; all other
+    rows pass through a broadcast anti join. More: the full :func:`dedupe_keys`.
+    Keys are matched null-safely, so null keys are grouped as in :func:`dedupe_keys`.
+    """
+    keys = list(keys)
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > max_broadcast_keys:
+        return dedupe_keys(df, keys, order_by, descending)
+    b = F.broadcast(repeated)
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(b[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    single = df.join(b, cond, "left_anti")
+    multi = dedupe_keys(df.join(b, cond, "left_semi"), keys, order_by, descending)
+    return single.unionByName(multi.select(*df.columns))
+
+
 def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Column | object]) -> DataFrame:
     """D-01 when the written rows are selected from the table itself.
 

@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tarmac.operators.derive import airport_departures, flights_airtime
-from tarmac.operators.keyed import dedupe_keys, delete_where, rekey, update_where, upsert
+from tarmac.operators.keyed import (
+    dedupe_keys, dedupe_keys_measured, delete_where, rekey, update_where, upsert,
+)
 from tarmac.plans import registry
 from tarmac.plans.replace import replace_code
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_upsert_written_null_wins_and_inserts(spark):
@@ -81,3 +83,17 @@ def test_derived_tables_keep_key_sets(spark):
     ids = f.select("id")
     assert airport_departures(f).select("id").exceptAll(ids).count() == 0
     assert flights_airtime(f).count() == f.count() == airport_departures(f).count()
+
+
+def test_measured_dedupe_equals_full_dedupe(spark):
+    df = spark.createDataFrame([(1, 3, "x"), (1, 2, "z"), (None, 1, "a"), (None, 0, "b"),
+                                (2, 5, "p"), (3, 1, "q")], "k int, ver int, s string")
+    assert _rows(dedupe_keys_measured(df, ["k"], ["ver"])) == _rows(dedupe_keys(df, ["k"], ["ver"]))
+    assert _rows(dedupe_keys_measured(df, ["k"], ["ver"], max_broadcast_keys=0)) == \
+        _rows(dedupe_keys(df, ["k"], ["ver"]))
+    (li,) = registry.read_tables(spark, "/root/testdata/sf0.01", "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    a, b = dedupe_keys_measured(li, keys), dedupe_keys(li, keys)
+    assert a.count() == 45832 and a.exceptAll(b).count() == 0
+    unique = registry.flights(spark, SF_SMALL)
+    assert dedupe_keys_measured(unique, ["id"]) is unique
