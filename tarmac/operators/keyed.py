@@ -151,13 +151,17 @@ def delete_where(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(~F.col(column).eqNullSafe(F.lit(value)))
 
 
-def rekey(df: DataFrame, keys: Sequence[str], column: str, src, tgt) -> DataFrame:
+def rekey(df: DataFrame, keys: Sequence[str], column: str, src, tgt, *,
+          max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """D-03 + D-04: move rows with ``column == src`` to ``column = tgt`` (a key column).
 
     Moved rows overwrite rows already stored under the new key. Only rows whose
-    ``column`` is ``src`` or ``tgt`` can collide, so only those are deduplicated
-    (on the full key, which is high-cardinality); every other row passes through
-    untouched without a shuffle.
+    ``column`` is ``src`` or ``tgt`` can collide; every other row passes through
+    untouched without a shuffle. The rows already under ``tgt`` are measured: when
+    they fit the broadcast bound (the usual case — a new code has few or no rows),
+    the colliding keys are found by streaming the moved keys through a broadcast semi
+    join, so the moved rows (possibly a third of the table) are never shuffled.
+    Otherwise an anti join shuffles both sides on the full key (high-cardinality).
     """
     keys = list(keys)
     if column not in keys:
@@ -166,7 +170,11 @@ def rekey(df: DataFrame, keys: Sequence[str], column: str, src, tgt) -> DataFram
     untouched = df.filter(~(c.eqNullSafe(F.lit(src)) | c.eqNullSafe(F.lit(tgt))))
     moved = df.filter(c.eqNullSafe(F.lit(src))).withColumn(column, F.lit(tgt).cast(df.schema[column].dataType))
     existing = df.filter(c.eqNullSafe(F.lit(tgt)))
-    survivors = existing.join(moved.select(*keys), keys, "left_anti")
+    if existing.count() <= max_broadcast_rows:
+        colliding = moved.select(*keys).join(F.broadcast(existing.select(*keys)), keys, "left_semi")
+        survivors = existing.join(F.broadcast(colliding), keys, "left_anti")
+    else:
+        survivors = existing.join(moved.select(*keys), keys, "left_anti")
     return untouched.unionByName(survivors.select(*df.columns)).unionByName(moved.select(*df.columns))
 
 

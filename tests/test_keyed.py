@@ -57,6 +57,8 @@ def test_rekey_overwrites_collisions_and_deletes_source(spark):
                                "o string, k int, v string")
     out = rekey(df, ["o", "k"], "o", "A", "B")
     assert _rows(out) == [("B", 1, "x"), ("B", 2, "y"), ("C", 9, "z")]
+    shuffled = rekey(df, ["o", "k"], "o", "A", "B", max_broadcast_rows=0)
+    assert _rows(shuffled) == _rows(out)
     assert _rows(delete_where(df, "o", "A")) == [("B", 1, "old"), ("C", 9, "z")]
 
 
