@@ -126,11 +126,24 @@ def airports_from_nation(nation: DataFrame) -> DataFrame:
     return nation.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in AIRPORTS.fields])
 
 
-def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer input splits than the session's task slots one partition
+    per slot (round-robin, after column pruning). A generated table is one file with
+    one row group, i.e. one split: without this every per-row step downstream would run
+    in a single task. Inputs with enough splits (any table at cluster scale) pass as is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def read_tables(spark: SparkSession, sf_dir: str, *names: str,
+                spread_splits: bool = True) -> list[DataFrame]:
+    dfs = [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
+    return [spread(df) for df in dfs] if spread_splits else dfs
 
 
 def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(raw flights, airports including the null-IATA row) derived from ``sf_dir``."""
-    orders, nation = read_tables(spark, sf_dir, "orders", "nation")
+    (orders,) = read_tables(spark, sf_dir, "orders")
+    (nation,) = read_tables(spark, sf_dir, "nation", spread_splits=False)
     return flights_raw_from_orders(orders), airports_from_nation(nation)
