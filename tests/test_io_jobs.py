@@ -76,3 +76,24 @@ def test_three_programs_end_to_end(spark, scratch):
     assert read_table(spark, v2.path(FLIGHTS_TABLE), FLIGHTS_TABLE).count() == raw.count()
     # Partition directories per origin on the departures table.
     assert any(d.startswith("origin=") for d in os.listdir(v1.path(DEPARTURES_TABLE)))
+
+
+def test_generic_csv_reader_infers_types(spark, scratch):
+    from tarmac.sources.files import read_csv
+    raw, _ = load_fixture(spark, SF_SMALL)
+    path = scratch("generic")
+    write_flights_csv(raw, path)
+    df = read_csv(spark, path)
+    assert len(df.columns) == 19 and df.count() == raw.count()
+    assert dict(df.dtypes)["_c0"] in ("int", "bigint")
+
+
+def test_spot_checks(spark):
+    from tarmac.operators import quality
+    e = registry.enriched(spark, SF_SMALL)
+    stt = quality.spot_check(e, origin="STT")
+    assert stt.count() == e.filter(F.col("ORIGIN") == "STT").count() > 0
+    one = quality.spot_check(e, actual_elapsed_time=111, origin="ATL")
+    assert one.count() == e.filter((F.col("ACTUAL_ELAPSED_TIME") == 111) & (F.col("ORIGIN") == "ATL")).count()
+    excluded = quality.duration_mismatch(e, exclude_elapsed=111)
+    assert excluded.filter(F.col("actual_elapsed_time") == 111).count() == 0
