@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tarmac.operators.keyed import rekey, update_where
@@ -46,6 +46,9 @@ class Replacement:
     flights_airtime: DataFrame
     airport_departures: DataFrame
     counts: DataFrame
+    # With ``observed=True``: Observations filled while the three new versions are
+    # written (steps 1-2, 3-4, 6); step 5 is then a partition-pruned count.
+    observations: tuple[Observation, Observation, Observation] | None = None
 
 
 def _matches(df: DataFrame, column: str, code: str) -> F.Column:
@@ -53,19 +56,36 @@ def _matches(df: DataFrame, column: str, code: str) -> F.Column:
 
 
 def replace_code(flights: DataFrame, airtime: DataFrame, departures: DataFrame,
-                 src: str = SOURCE_CODE, tgt: str = TARGET_CODE) -> Replacement:
-    """Next versions of the three tables plus a (step, table, column, matched_rows) frame."""
+                 src: str = SOURCE_CODE, tgt: str = TARGET_CODE, *,
+                 observed: bool = False) -> Replacement:
+    """Next versions of the three tables plus a (step, table, column, matched_rows) frame.
+
+    ``observed=True`` also attaches metric observations at points every row passes
+    exactly once on its way to the write (the flights and airtime inputs, the
+    departures after the move), so a job writing the versions gets the step counts
+    without extra scans of the tables.
+    """
+    observations = None
+    plain_flights, plain_airtime = flights, airtime
+    if observed:
+        of, oa, od = Observation("replace_flights"), Observation("replace_airtime"), Observation("replace_departures")
+        flights = flights.observe(of, _matches(flights, "origin", src).alias("s1"),
+                                  _matches(flights, "dest", src).alias("s2"))
+        airtime = airtime.observe(oa, _matches(airtime, "origin", src).alias("s3"),
+                                  _matches(airtime, "dest", src).alias("s4"))
+        observations = (of, oa, od)
     f1 = update_where(flights, F.col("origin") == src, {"origin": tgt})
     f2 = update_where(f1, F.col("dest") == src, {"dest": tgt})
     a1 = update_where(airtime, F.col("origin") == src, {"origin": tgt})
     a2 = update_where(a1, F.col("dest") == src, {"dest": tgt})
     d1 = rekey(departures, DEPARTURES_TABLE.keys, "origin", src, tgt)
-    d2 = update_where(d1, F.col("dest") == src, {"dest": tgt})
+    d1_in = d1.observe(observations[2], _matches(d1, "dest", src).alias("s6")) if observed else d1
+    d2 = update_where(d1_in, F.col("dest") == src, {"dest": tgt})
 
     # Counts: steps 1/2 read flights (step 1 does not touch dest), 3/4 airtime,
     # 5 the departures before the move, 6 the departures after it.
     # Each table is scanned once for both of its counts (one partial+final aggregate).
-    sources = {"flights": flights, "flights_airtime": airtime}
+    sources = {"flights": plain_flights, "flights_airtime": plain_airtime}
     parts = []
     for table, df in sources.items():
         steps = [(n, c) for n, t, c in STEPS if t == table]
@@ -83,4 +103,4 @@ def replace_code(flights: DataFrame, airtime: DataFrame, departures: DataFrame,
         counts = counts.unionByName(p)
     counts = counts.select(F.col("step").cast("int"), "table_name", "column_name",
                            F.col("matched_rows").cast("long"))
-    return Replacement(f2, a2, d2, counts)
+    return Replacement(f2, a2, d2, counts, observations)
