@@ -74,3 +74,12 @@ def test_partitioned_write_uses_adaptive_rebalance(spark):
     plan = _plan(out)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
     assert spark.conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true"
+
+
+def test_question_filters_stay_small(spark):
+    # Filters on computed instants must not be copied into the conversion expressions
+    # (the generated code would outgrow the compiler and fall back to slow paths).
+    for fn in (registry.q01, registry.q03, registry.q05, registry.q06, registry.q08):
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        longest = max((len(line) for line in plan.split("\n") if "Filter" in line), default=0)
+        assert longest < 5000, (fn.__name__, longest)
