@@ -97,3 +97,18 @@ def test_spot_checks(spark):
     assert one.count() == e.filter((F.col("ACTUAL_ELAPSED_TIME") == 111) & (F.col("ORIGIN") == "ATL")).count()
     excluded = quality.duration_mismatch(e, exclude_elapsed=111)
     assert excluded.filter(F.col("actual_elapsed_time") == 111).count() == 0
+
+
+def test_command_line_programs(spark, scratch):
+    from tarmac.__main__ import main
+    raw, airports = load_fixture(spark, SF_SMALL)
+    fp, ap, root = scratch("cli-flights"), scratch("cli-airports"), scratch("cli-root")
+    write_flights_csv(raw, fp)
+    write_airports_csv(airports, ap)
+    assert main(["load", "--flights", fp, "--airports", ap, "--root", root, "--version", "1"],
+                spark)["rows"] == raw.count()
+    main(["downstream", "--root", root, "--version", "1"], spark)
+    answers = main(["questions", "--root", root, "--version", "1"], spark)
+    assert answers["q01"] == [r.asDict() for r in registry.q01(spark, SF_SMALL).collect()]
+    counts = main(["replace", "--root", root, "--version", "1", "--to-version", "2"], spark)["counts"]
+    assert [c["step"] for c in counts] == [1, 2, 3, 4, 5, 6]
