@@ -118,7 +118,7 @@ def unmatched_airports(flights_raw: DataFrame, airports: DataFrame,
     side = lambda name, col, hit: F.when(F.col(hit).isNull(), F.struct(
         F.col("ID").alias("id"), F.lit(name).alias("side"), F.col(col).alias("code")))
     sides = F.array(side("origin", "ORIGIN", "_o_hit"), side("dest", "DEST", "_d_hit"))
-    misses = j.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("m"))
+    misses = j.select(F.explode(sides).alias("m")).filter(F.col("m").isNotNull())
     return misses.select("m.id", "m.side", "m.code")
 
 
