@@ -11,7 +11,8 @@ Timed steps, in pipeline order:
   q08, dq_*     the delay audit and the eight checks over the staging table ``load`` wrote
   enrich_utc, unmatched_airports, pk_dedupe, upsert_partial[_shuffle]
                 registered queries from the raw tables to a no-op sink (no collect)
-The CSV inputs are generated from the driver's tables before timing starts.
+The CSV inputs are generated from the driver's tables before timing starts. Set
+BENCH_EVENT_LOG=<folder> to also write Spark's event log (per-stage and per-task times).
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     extra = {"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # optional: stage/task times, no UI
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     probe = build_session(f"local[{cpus}]", app="tarmac-bench", shuffle_partitions=cpus * 2,
                           extra=extra)
     if not probe.sparkContext.getConf().get("spark.checkpoint.dir", None):
