@@ -46,19 +46,23 @@ def build_session(master: str | None = None, app: str = "tarmac",
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch folder.
 
-    Uses ``spark.checkpoint.dir`` from the session (the folder the cluster names for
-    lineage cuts). Only when it is unset — local runs and tests — a private folder is
-    created and registered as the checkpoint dir.
+    ``spark.checkpoint.dir`` of the session (the folder the cluster names for lineage
+    cuts), else the checkpoint folder already registered with the context. With neither,
+    a local master gets a private folder (tests, single machine); any other master is
+    an error, since executors cannot read each other's local folders.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    registered = sc.getCheckpointDir()
+    root = sc.getConf().get("spark.checkpoint.dir", None) or registered
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         key = sc.applicationId
         if key not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[key] = (os.environ.get("TARMAC_SCRATCH")
                                  or tempfile.mkdtemp(prefix="tarmac-scratch-"))
         root = _LOCAL_ROOTS[key]
-    if sc.getCheckpointDir() is None:
+    if registered is None:
         sc.setCheckpointDir(root.rstrip("/") + "/checkpoints")
     return root.rstrip("/")
 
