@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.session import scratch_path, shared_dir
@@ -32,17 +32,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` plus columns that are computed once per row: as generated columns they are
+    not copied into every expression that reads them."""
+    for name, value in columns.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df
+
+
 # Most ids sent to every task by :func:`keep_ids` (8 bytes each, a few tens of MB hashed).
 BROADCAST_IDS = 1_000_000
 
 
-def keep_ids(df: DataFrame, id_col: str, ids: DataFrame, ids_col: str) -> DataFrame:
-    """Rows of ``df`` whose id is in ``ids``. The ids are counted first: up to
-    ``BROADCAST_IDS`` they go to the rows (no shuffle of ``df``), beyond it both sides are
-    shuffled. The result is the same either way."""
+def keep_ids(df: DataFrame, key: Column, ids: DataFrame, ids_col: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is (``left_anti``: is not) in ``ids``. The ids are counted
+    first: up to ``BROADCAST_IDS`` they go to the rows and ``df`` is not shuffled, beyond
+    it both sides are. The result is the same either way."""
     ids = staged(ids.select(ids_col), "ids")
     small = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, df[id_col] == ids[ids_col], "left_semi")
+    return df.join(F.broadcast(ids) if small else ids, key == ids[ids_col], how)
 
 
 def chunk_rows(n: int, least: int = 512) -> int:

@@ -144,7 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, id_col: str =
     possible = staged(possible.select("a", "b"), "neardup-pairs")
     wanted = possible.select(F.explode(F.array("a", "b")).alias("_wanted")).distinct()
     texts = keep_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).alias("text")), "doc_id", wanted, "_wanted")
+                                 F.col(text_col).alias("text")), F.col("doc_id"), wanted, "_wanted")
     sets = staged(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "neardup-sets")
     sets = sets.dropDuplicates()
     both = (possible.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -180,5 +180,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were: one document of each
+    group, documents without shingles, and rows with a null id. Of several rows with one
+    kept id, the one with the smallest text stays."""
+    found = staged(near_duplicates(docs, id_col, text_col), "neardup-result")
+    key = F.col(id_col).cast("long")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    repeated = staged(found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_repeated"))
+                      .count().filter("count > 1").select("_repeated"), "neardup-repeated")
+    kept = keep_ids(docs, key, gone, "_gone", "left_anti")
+    if repeated.isEmpty():
+        return kept
+    one = (keep_ids(kept, key, repeated, "_repeated").groupBy(key.alias("_key"))
+           .agg(F.min_by(F.struct(*docs.columns), F.col(text_col)).alias("_row")).select("_row.*"))
+    return keep_ids(kept, key, repeated, "_repeated", "left_anti").unionByName(one)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
