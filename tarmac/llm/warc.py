@@ -110,7 +110,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     met = full.join(wanted, full.page_id.eqNullSafe(F.col("_page_id"))
                     & (full.payload_digest == F.col("_payload_digest")))
     repeated = (F.col("copies") > 1) & ~F.col("alone")
-    met = met.filter(~repeated).unionByName(met.filter(repeated).dropDuplicates(keys))
+    if not decided.filter("is_original and not alone and copies > 1").isEmpty():
+        met = met.filter(~repeated).unionByName(met.filter(repeated).dropDuplicates(keys))
     http = F.concat(F.lit(LINE.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8",
                                      "Content-Length: "])), F.col("payload_bytes").cast("string"), F.lit(END))
     nth = F.when(F.col("alone"), F.monotonically_increasing_id() + 1).otherwise(0)
