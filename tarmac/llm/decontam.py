@@ -139,6 +139,8 @@ def find_overlaps(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple
     if not found:
         return []
     hits = np.concatenate(found, axis=1)
+    if not hits.shape[1]:
+        return []
     hits = hits[:, np.lexsort(hits[::-1])]
     cuts = np.flatnonzero(np.any(np.diff(hits[:3], axis=1) != 0, axis=0)) + 1
     best: dict[tuple[int, int], tuple] = {}

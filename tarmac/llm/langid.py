@@ -2,8 +2,9 @@
 
 A bounded sample of labelled text per language becomes one suffix automaton each. A text
 is parsed against every automaton into the fewest phrases that occur in its sample, by
-always taking the longest match; phrases * log2(sample size) / text length estimates the
-cross entropy, and the language with the smallest estimate wins (ties: the smaller code).
+always taking the longest match; phrases per symbol grow with the cross entropy, and the
+language with the fewest wins. Ties, common among very short texts, go to the language
+with more labelled documents, then to the smaller code.
 
 Texts are read as lower-cased letters, any run of other characters being one separator.
 Automata are laid out as dense tables, and the parse runs over pieces of ``PIECE``
@@ -19,7 +20,6 @@ alike; letters outside the ``ALPHABET`` most frequent learned ones are matched b
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -77,7 +77,6 @@ class Model:
     symbol: np.ndarray   # code point -> symbol
     moves: np.ndarray    # all automata: (row of the next state << 2) | phrases ended
     roots: np.ndarray    # row of each automaton's root
-    bits: np.ndarray     # log2 of each sample's size
 
 
 def _symbols(letters: list[str]) -> np.ndarray:
@@ -104,12 +103,12 @@ def fold(symbol: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(samples: dict[str, list[str]]) -> Model:
-    """Automata from texts by language."""
+    """Automata from texts by language; the order of languages decides ties."""
     counts = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
     letters = sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
     symbol, width = _symbols(letters), len(letters) + 3
-    languages, tables, roots, bits, rows = [], [], [], [], 0
-    for language in sorted(samples):
+    languages, tables, roots, rows = [], [], [], 0
+    for language in samples:
         text, _ = fold(symbol, samples[language])
         if not (text != SEPARATOR).any():
             continue
@@ -130,11 +129,10 @@ def learn(samples: dict[str, list[str]]) -> Model:
         languages.append(language)
         tables.append(moves.ravel())
         roots.append(root)
-        bits.append(math.log2(len(text) + 1))
         rows += moves.size
     moves = np.concatenate(tables) if tables else np.zeros(0, np.int64)
     small = np.int32 if rows < 1 << 29 else np.int64
-    return Model(languages, symbol, moves.astype(small), np.array(roots, small), np.array(bits))
+    return Model(languages, symbol, moves.astype(small), np.array(roots, small))
 
 
 def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,15 +167,14 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """(language, score) of each text; the score is 1 - best / second-best estimate."""
+    """(language, score) of each text; the score is 1 - fewest / second-fewest phrases."""
     if not model.languages:
         return ["und"] * len(texts), np.zeros(len(texts))
     counts, size = phrases(model, texts)
-    estimate = counts * model.bits[:, None] / np.maximum(size, 1)
-    best = estimate.argmin(axis=0)
-    ranked = np.sort(estimate, axis=0)
+    best = counts.argmin(axis=0)
+    ranked = np.sort(counts, axis=0)
     second = ranked[1] if len(ranked) > 1 else np.full(len(texts), np.inf)
-    score = np.where(size > 0, np.clip(1 - ranked[0] / np.maximum(second, 1e-12), 0, 1), 0)
+    score = np.where(size > 0, np.clip(1 - ranked[0] / np.maximum(second, 1), 0, 1), 0)
     return [model.languages[b] if n else "und" for b, n in zip(best, size)], score
 
 
@@ -197,9 +194,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # Only a language's first rows by hash leave a task (the planner limits each group).
     order = Window.partitionBy("lang").orderBy("h", "text")
     rows = head.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS).collect()
-    samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r["rank"])):
-        samples.setdefault(r.lang, []).append(r.text + "\n")
+    labelled = sorted(d.groupBy("lang").count().collect(), key=lambda r: (-r["count"], r.lang))
+    samples: dict[str, list[str]] = {r.lang: [] for r in labelled}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        samples[r.lang].append(r.text + "\n")
     return learn(samples)
 
 

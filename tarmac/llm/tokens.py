@@ -57,6 +57,8 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1]
