@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         print(f"loaded {metrics['rows']} flights into {at.path('flights')}")
         return metrics
     if args.program == "downstream":
-        src = jobs.Version(args.root, args.from_version or args.version)
+        src = jobs.Version(args.root, args.version if args.from_version is None else args.from_version)
         jobs.downstream(spark, src, at)
         print(f"wrote airport_departures and flights_airtime version {args.version}")
         return {}

@@ -11,10 +11,9 @@ conversion expressions into the pushed-down filter and evaluates them twice.
 
 from __future__ import annotations
 
-import zoneinfo
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import repair_arrival, with_utc_millis
@@ -25,14 +24,25 @@ from tarmac.schema import FLIGHTS, FLIGHTS_RAW
 ENRICHED_EXTRA = ["ORIGIN_TIMEZONE_CODE", "DEP_TIME_UTC_MS", "DEST_TIMEZONE_CODE",
                   "ARR_TIME_UTC_MS_TMP", "ARR_TIME_UTC_MS"]
 
-# Zone ids the JVM accepts that are not region names in the tz database.
-_EXTRA_ZONE_IDS = ("UTC", "GMT", "Z")
+# Offsets the JVM reads as zones: ``-05:00``, ``GMT-5``, ``GMT-05:00``.
+_OFFSET_ZONE = "^(GMT[+-](0?[0-9]|1[0-7])(:[0-9]{2})?|[+-][0-9]{2}:[0-9]{2})$"
 
 
 @lru_cache(maxsize=1)
+def _jvm_zone_ids(application: str) -> tuple[str, ...]:
+    zones = SparkSession.active()._jvm.java.time.ZoneId
+    return tuple(sorted({str(z) for z in zones.getAvailableZoneIds()}
+                        | {str(z) for z in zones.SHORT_IDS} | {"Z"}))
+
+
 def known_zone_ids() -> tuple[str, ...]:
-    """Region ids of the tz database (bounded: a few hundred names)."""
-    return tuple(sorted(set(zoneinfo.available_timezones()) | set(_EXTRA_ZONE_IDS)))
+    """Zone ids of the JVM that does the conversion: regions and short ids such as
+    ``PST`` (bounded: a few hundred names). Without them every zone would be read as the
+    fallback, so an empty set is an error."""
+    ids = _jvm_zone_ids(SparkSession.active().sparkContext.applicationId)
+    if len(ids) < 100:
+        raise RuntimeError("the JVM knows no time zones")
+    return ids
 
 
 def sanitize_zone(column: str, fallback: str = "UTC") -> F.Column:
@@ -42,12 +52,9 @@ def sanitize_zone(column: str, fallback: str = "UTC") -> F.Column:
     Built as one SQL expression: the known-id set is a single literal set (one call
     into the JVM while planning, a hash lookup per row while running).
     """
-    ids = known_zone_ids()
-    if not ids:
-        return F.col(column)
-    known = ", ".join(f"'{z}'" for z in ids)
+    known = ", ".join(f"'{z}'" for z in known_zone_ids())
     return F.expr(f"CASE WHEN `{column}` IS NULL OR `{column}` IN ({known}) "
-                  f"OR `{column}` RLIKE '^[+-][0-9]{{2}}:[0-9]{{2}}$' "
+                  f"OR `{column}` RLIKE '{_OFFSET_ZONE}' "
                   f"THEN `{column}` ELSE '{fallback}' END")
 
 
@@ -105,14 +112,15 @@ def enrich_flights(flights_raw: DataFrame, airports: DataFrame, *, how: str = "l
 
 def unmatched_airports(flights_raw: DataFrame, airports: DataFrame,
                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """J-04 / C-07: flights whose origin or destination code has no airport row.
+    """J-04 / C-07: flights whose origin or destination resolves to no time zone: the
+    code has no airport row, or its airport has no zone (either gives sentinel times).
 
-    One pass over the flights: two left joins against the (checked, broadcast) code
-    list with a match marker, then one output row per unmatched side: (id, side, code).
+    One pass over the flights: two left joins against the (checked, broadcast) zone
+    lookup, then one output row per unresolved side: (id, side, code).
     """
-    codes = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows).select("IATA")
-    o = codes.select(F.col("IATA").alias("_o_iata"), F.lit(True).alias("_o_hit"))
-    d = codes.select(F.col("IATA").alias("_d_iata"), F.lit(True).alias("_d_hit"))
+    zones = prepared_lookup(airports, max_broadcast_rows=max_broadcast_rows)
+    o = zones.select(F.col("IATA").alias("_o_iata"), F.col("TIMEZONE_CODE").alias("_o_hit"))
+    d = zones.select(F.col("IATA").alias("_d_iata"), F.col("TIMEZONE_CODE").alias("_d_hit"))
     j = flights_raw.select("ID", "ORIGIN", "DEST")
     j = j.join(o, j["ORIGIN"] == o["_o_iata"], "left").join(d, j["DEST"] == d["_d_iata"], "left")
     side = lambda name, col, hit: F.when(F.col(hit).isNull(), F.struct(

@@ -17,6 +17,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Largest side sent to every task, by its schema's row width (tens of bytes to Spark's
+# own estimate of a row; see ``fits_broadcast``).
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def fits_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``rows`` rows of ``df`` stay within the row and the byte bound."""
+    width = 16 + df._jdf.schema().defaultSize()
+    return rows <= max_rows and rows * width <= BROADCAST_MAX_BYTES
+
+
 @dataclass(frozen=True)
 class DimensionStats:
     rows: int

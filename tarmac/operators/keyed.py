@@ -14,11 +14,14 @@ D-04 ``delete_where`` (delete by key value)
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.joins import BROADCAST_MAX_ROWS
+from tarmac.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
+from tarmac.session import scratch_path
+from tarmac.sources.files import materialize
 
 _HIT = "__written"
 
@@ -103,18 +106,26 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     keys become rows with nulls in unwritten columns. ``delta`` must be unique on
     ``keys`` (run :func:`dedupe_keys` first otherwise).
 
-    Strategy: the delta's row count is measured. A delta within ``max_broadcast_rows``
-    is broadcast: base rows stream through a broadcast left join (no shuffle of the
-    base), and brand-new keys are found with a broadcast semi join of the base keys.
-    A larger delta uses a full outer join that shuffles both sides on the keys.
+    Null key parts are refused (the store refuses them).
+
+    Strategy: the delta is stored once and measured. Within ``max_broadcast_rows`` and
+    the byte bound it is broadcast: base rows stream through a broadcast left join (no
+    shuffle of the base), and brand-new keys are those not among the base's distinct
+    keys that the delta has, which are no more than the delta's rows. A larger delta uses
+    a full outer join that shuffles both sides on the keys.
     """
     keys = list(keys)
     written = [c for c in delta.columns if c not in keys]
     unknown = set(delta.columns) - set(base.columns)
     if unknown:
         raise ValueError(f"delta has columns not in base: {sorted(unknown)}")
+    delta = materialize(delta, scratch_path(delta.sparkSession, "upsert-delta"))
     d = delta.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in written], F.lit(True).alias(_HIT))
-    n = delta.count() if delta_rows is None else delta_rows
+    bad = [F.count(F.when(F.col(k).isNull(), 1)).alias(k) for k in keys]
+    seen = delta.agg(F.count(F.lit(1)).alias("_rows"), *bad).first()
+    if any(seen[k] for k in keys):
+        raise ValueError(f"delta has null key parts: {', '.join(keys)}")
+    n = seen["_rows"] if delta_rows is None else delta_rows
 
     def merged(src: DataFrame) -> DataFrame:
         cols = []
@@ -125,10 +136,10 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], *,
                 cols.append(F.col(c))
         return src.select(*cols)
 
-    if n <= max_broadcast_rows:
+    if fits_broadcast(delta, n, max_broadcast_rows):
         small = F.broadcast(d)
         updated = merged(base.join(small, keys, "left").fillna(False, subset=[_HIT]))
-        present = base.select(*keys).join(F.broadcast(d.select(*keys)), keys, "left_semi")
+        present = base.select(*keys).join(F.broadcast(d.select(*keys)), keys, "left_semi").distinct()
         fresh = d.join(F.broadcast(present), keys, "left_anti")
         inserted = fresh.select(*[
             (F.col(c) if c in keys else F.col(f"_d_{c}") if c in written
@@ -166,15 +177,26 @@ def rekey(df: DataFrame, keys: Sequence[str], column: str, src, tgt, *,
     keys = list(keys)
     if column not in keys:
         raise ValueError(f"{column} is not a key column; use update_where")
+    if src == tgt:
+        return df
     c = F.col(column)
     untouched = df.filter(~(c.eqNullSafe(F.lit(src)) | c.eqNullSafe(F.lit(tgt))))
     moved = df.filter(c.eqNullSafe(F.lit(src))).withColumn(column, F.lit(tgt).cast(df.schema[column].dataType))
     existing = df.filter(c.eqNullSafe(F.lit(tgt)))
-    if existing.count() <= max_broadcast_rows:
-        colliding = moved.select(*keys).join(F.broadcast(existing.select(*keys)), keys, "left_semi")
-        survivors = existing.join(F.broadcast(colliding), keys, "left_anti")
+    def same(a: DataFrame, b: DataFrame) -> Column:  # null key parts are equal
+        return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_k_{k}"]) for k in keys])
+
+    def named(x: DataFrame) -> DataFrame:
+        return x.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+
+    if fits_broadcast(existing.select(*keys), existing.count(), max_broadcast_rows):
+        there = F.broadcast(named(existing).distinct())
+        met = moved.select(*keys)
+        colliding = named(met.join(there, same(met, there), "left_semi").distinct())
+        survivors = existing.join(F.broadcast(colliding), same(existing, colliding), "left_anti")
     else:
-        survivors = existing.join(moved.select(*keys), keys, "left_anti")
+        gone = named(moved)
+        survivors = existing.join(gone, same(existing, gone), "left_anti")
     return untouched.unionByName(survivors.select(*df.columns)).unionByName(moved.select(*df.columns))
 
 

@@ -1,7 +1,7 @@
 """The three batch programs, as Spark jobs over a table root.
 
 load        raw flight CSV + airport CSV -> enriched, keyed ``flights`` table
-downstream  ``flights`` -> ``airport_departures`` + ``flights_airtime`` (one scan)
+downstream  ``flights`` -> ``airport_departures`` + ``flights_airtime`` (one pruned scan each)
 questions   Q-01..Q-06 over the stored tables; Q-04 writes new table versions
 
 Every job writes its output as a new table version under ``root`` (a shared folder
@@ -28,15 +28,6 @@ from tarmac.sources.files import (
 )
 
 
-def build_flights(flights_raw: DataFrame, airports: DataFrame, *, dedupe: bool = True,
-                  **enrich_options) -> DataFrame:
-    """Enrichment + rename into the stored ``flights`` layout (+ D-02 on ``id``)."""
-    flights = to_flights_table(enrich_flights(flights_raw, airports, **enrich_options))
-    # Measuring repeated ids reads only the id column (column pruning); the full
-    # deduplication shuffle runs only if ids actually repeat.
-    return dedupe_keys_measured(flights, FLIGHTS_TABLE.keys) if dedupe else flights
-
-
 @dataclass
 class Version:
     root: str
@@ -58,7 +49,12 @@ def load(spark: SparkSession, flights_csv: str, airports_csv: str, out: Version,
     """
     raw = read_flights_csv(spark, flights_csv)
     airports = read_airports_csv(spark, airports_csv)
-    staged = materialize(enrich_flights(raw, airports), out.path(ENRICHED_TABLE))
+    return build_tables(enrich_flights(raw, airports), out, dedupe)
+
+
+def build_tables(enriched: DataFrame, out: Version, dedupe: bool = True) -> dict[str, int]:
+    """Writes the enrichment as staging table, and ``flights`` from the stored copy."""
+    staged = materialize(enriched, out.path(ENRICHED_TABLE))
     flights = to_flights_table(staged)
     if dedupe:
         flights = dedupe_keys_measured(flights, FLIGHTS_TABLE.keys)

@@ -171,25 +171,24 @@ Q3_LO, Q3_HI = _ms(insights.Q3_DAY), _ms(insights.Q3_DAY, 86399)
 SRC, TGT = SOURCE_CODE, TARGET_CODE
 
 
-def _top_routes(valid: bool) -> str:
+def _top_routes(valid: bool, limit: str = f"LIMIT {insights.TOP_ROUTES}") -> str:
     cond = ("WHERE dep_time <> 0 AND arr_time NOT IN (0, 86400000, -86400000)" if valid else "")
     return with_flights(f"""
 SELECT origin || '-' || dest AS route, count(delay) AS trip_count
 FROM (SELECT origin, dest, (arr_time // 1000 - dep_time // 1000) / 60 - actual_elapsed_time AS delay
       FROM (SELECT * FROM flights_t {cond}) v WHERE actual_elapsed_time <> air_time) d
 WHERE delay > 0
-GROUP BY 1 ORDER BY trip_count DESC, route ASC NULLS FIRST LIMIT {insights.TOP_ROUTES}""")
+GROUP BY 1 ORDER BY trip_count DESC, route ASC NULLS FIRST {limit}""")
 
 
 def _ground(corrected: bool) -> str:
     late = "delay > 0" if corrected else "delay < 0"
-    d = insights.MEAN_DIGITS
     return with_flights(f"""
 SELECT delayed_mean, ontime_mean,
        CASE WHEN delayed_mean <= ontime_mean THEN '{insights.VERDICT_NOT_A_REASON}'
             WHEN delayed_mean > ontime_mean THEN '{insights.VERDICT_A_REASON}' END AS verdict
-FROM (SELECT round(avg(CASE WHEN {late} THEN actual_elapsed_time - air_time END), {d}) AS delayed_mean,
-             round(avg(CASE WHEN delay = 0 THEN actual_elapsed_time - air_time END), {d}) AS ontime_mean
+FROM (SELECT avg(CASE WHEN {late} THEN actual_elapsed_time - air_time END) AS delayed_mean,
+             avg(CASE WHEN delay = 0 THEN actual_elapsed_time - air_time END) AS ontime_mean
       FROM delays) s""")
 
 
@@ -253,10 +252,10 @@ ORACLE: dict[str, str] = {
     "enrich_inner": with_flights(f"SELECT {ENRICHED_COLUMNS} FROM enriched", join="INNER"),
     "unmatched_airports": with_flights("""
 SELECT id, 'origin' AS side, origin AS code FROM flights_raw r
-WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.iata = r.origin)
+WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.iata = r.origin AND l.tz IS NOT NULL)
 UNION ALL
 SELECT id, 'dest', dest FROM flights_raw r
-WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.iata = r.dest)"""),
+WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.iata = r.dest AND l.tz IS NOT NULL)"""),
     "flights_table": with_flights("SELECT * FROM flights_t"),
     "airport_departures": with_flights("SELECT * FROM departures_t"),
     "flights_airtime": with_flights("SELECT * FROM airtime_t"),
@@ -290,6 +289,17 @@ WHERE dep_time BETWEEN {Q3_LO} AND {Q3_HI} GROUP BY origin"""),
     "q04_rerun_counts": _RERUN,
     "q05_delayed_routes": _top_routes(False),
     "q05_clean": _top_routes(True),
+    "q05_route_ranking": _top_routes(False, ""),
+    "q01_open_range": with_flights(f"""
+SELECT count(*) AS flights FROM departures_t
+WHERE origin = '{insights.Q1_ORIGIN}' AND dep_time > {Q1_LO} AND dep_time < {Q1_HI} - 1000"""),
+    "dest_counts": with_flights("SELECT dest, count(*) AS count FROM flights_t GROUP BY dest"),
+    "audit_csv_export": with_flights("""
+SELECT id, origin, dest, (arr_time_utc_ms - dep_time_utc_ms) / 60000 AS time_taken,
+       actual_elapsed_time - (arr_time_utc_ms - dep_time_utc_ms) / 60000 AS delay
+FROM enriched
+WHERE actual_elapsed_time <> air_time
+  AND actual_elapsed_time - (arr_time_utc_ms - dep_time_utc_ms) / 60000 <> 0"""),
     "q06_ground_time": _ground(False),
     "q06_corrected": _ground(True),
     "q08_delay_audit": with_flights("""

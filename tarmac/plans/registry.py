@@ -10,21 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import zone_offset_text
 from tarmac.operators import quality
-from tarmac.operators.derive import airport_departures, flights_airtime, rejected_rows
+from tarmac.operators.aggregate import grouped_count
+from tarmac.operators.derive import rejected_rows
 from tarmac.operators.enrich import enrich_flights, unmatched_airports
 from tarmac.operators.keyed import dedupe_keys, upsert
 from tarmac.plans import insights
-from tarmac.plans.jobs import build_flights
+from tarmac.plans.jobs import Version, build_tables, downstream, enriched_table
 from tarmac.plans.replace import replace_code
-from tarmac.schema import ENRICHED_TABLE
+from tarmac.schema import AIRTIME_TABLE, DEPARTURES_TABLE, ENRICHED_TABLE, FLIGHTS_TABLE
 from tarmac.session import scratch_path
 from tarmac.sources.files import (
-    materialize, read_airports_csv, read_flights_csv, write_airports_csv, write_flights_csv,
+    export_csv, read_airports_csv, read_csv, read_flights_csv, read_table, write_airports_csv,
+    write_flights_csv,
 )
 from tarmac.sources.fixtures import load_fixture, read_tables
 
@@ -48,21 +51,42 @@ def enriched(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
     return enrich_flights(raw, airports, how=how)
 
 
+_STORED: dict[tuple[str, str], Version] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> Version:
+    """The stored tables of one scale, as the load and downstream jobs leave them: the
+    enrichment, ``flights``, ``airport_departures`` and ``flights_airtime`` are written
+    once per application and input, and every question and check reads them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _STORED:
+        try:
+            read_table(spark, _STORED[key].path(AIRTIME_TABLE), AIRTIME_TABLE)
+        except AnalysisException:  # the shared folder was cleaned meanwhile
+            del _STORED[key]
+    if key not in _STORED:
+        at = Version(scratch_path(spark, "warehouse"), 1)
+        raw, airports = load_fixture(spark, sf_dir)
+        build_tables(enrich_flights(raw, airports), at)
+        downstream(spark, at, at)
+        _STORED[key] = at
+    return _STORED[key]
+
+
 def enriched_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enrichment written once to the shared folder (staging table) and read back."""
-    return materialize(enriched(spark, sf_dir), scratch_path(spark, "flights-enriched"))
+    return enriched_table(spark, stored(spark, sf_dir))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored ``flights`` table, as the load job leaves it: built once, written to
-    the shared folder and read back, so the questions filter stored instants instead
-    of having their predicates copied into the conversion expressions."""
-    raw, airports = load_fixture(spark, sf_dir)
-    return materialize(build_flights(raw, airports), scratch_path(spark, "flights"))
+    return read_table(spark, stored(spark, sf_dir).path(FLIGHTS_TABLE), FLIGHTS_TABLE)
 
 
 def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return airport_departures(flights(spark, sf_dir))
+    return read_table(spark, stored(spark, sf_dir).path(DEPARTURES_TABLE), DEPARTURES_TABLE)
+
+
+def airtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, stored(spark, sf_dir).path(AIRTIME_TABLE), AIRTIME_TABLE)
 
 
 def q_enrich_utc(spark, sf_dir):
@@ -87,7 +111,7 @@ def q_airport_departures(spark, sf_dir):
 
 
 def q_flights_airtime(spark, sf_dir):
-    return flights_airtime(flights(spark, sf_dir))
+    return airtime(spark, sf_dir)
 
 
 def q_rejected_key_rows(spark, sf_dir):
@@ -98,6 +122,14 @@ def q01(spark, sf_dir):
     return insights.departures_on_day(departures(spark, sf_dir))
 
 
+def q01_open(spark, sf_dir):
+    return insights.departures_on_day(departures(spark, sf_dir), style="open")
+
+
+def q_dest_counts(spark, sf_dir):
+    return grouped_count(flights(spark, sf_dir).select("dest"), ["dest"])
+
+
 def q02(spark, sf_dir):
     return insights.codes_with_prefix(departures(spark, sf_dir))
 
@@ -115,8 +147,7 @@ def q03_sql(spark, sf_dir):
 
 
 def _replacement(spark, sf_dir, runs: int = 1):
-    f = flights(spark, sf_dir)
-    result = replace_code(f, flights_airtime(f), airport_departures(f))
+    result = replace_code(flights(spark, sf_dir), airtime(spark, sf_dir), departures(spark, sf_dir))
     for _ in range(runs - 1):
         result = replace_code(result.flights, result.flights_airtime, result.airport_departures)
     return result
@@ -150,6 +181,10 @@ def q05_clean(spark, sf_dir):
     return insights.delayed_routes(flights(spark, sf_dir), clean=True)
 
 
+def q05_ranking(spark, sf_dir):
+    return insights.delayed_routes(flights(spark, sf_dir), k=None)
+
+
 def q06(spark, sf_dir):
     return insights.ground_time_factor(flights(spark, sf_dir))
 
@@ -209,6 +244,15 @@ def q_csv_roundtrip(spark, sf_dir):
     return _lower(back)
 
 
+def q_csv_export(spark, sf_dir):
+    """S-09 and S-03: the audit exported to one CSV file with a header, read back."""
+    path = scratch_path(spark, "audit-csv")
+    audit = insights.delay_audit(enriched_stored(spark, sf_dir)).select("id", "origin", "dest", "time_taken", "delay")
+    export_csv(audit, path, single_file=True)
+    back = read_csv(spark, path, header=True)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in audit.schema])
+
+
 def q_stream_enrich_load(spark, sf_dir):
     """Streaming form of the load: fixture flights as CSV files -> incremental,
     checkpointed enrichment -> Parquet staging rows, read back when caught up."""
@@ -231,6 +275,8 @@ QUERIES: dict[str, Query] = {
     "flights_airtime": q_flights_airtime,
     "rejected_key_rows": q_rejected_key_rows,
     "q01_departures_on_day": q01,
+    "q01_open_range": q01_open,
+    "dest_counts": q_dest_counts,
     "q02_codes_with_prefix": q02,
     "q03_busiest_origin": q03,
     "q03_origin_counts": q03_counts,
@@ -242,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "q04_rerun_counts": q04_rerun_counts,
     "q05_delayed_routes": q05,
     "q05_clean": q05_clean,
+    "q05_route_ranking": q05_ranking,
     "q06_ground_time": q06,
     "q06_corrected": q06_corrected,
     "q08_delay_audit": q08,
@@ -259,5 +306,6 @@ QUERIES: dict[str, Query] = {
     "upsert_partial_shuffle": _upsert(0),
     "tz_offset_text": q_tz_offset_text,
     "csv_export_roundtrip": q_csv_roundtrip,
+    "audit_csv_export": q_csv_export,
     "stream_enrich_load": q_stream_enrich_load,
 }

@@ -54,21 +54,10 @@ def write_airports_csv(df: DataFrame, path: str) -> None:
     df.select(*AIRPORTS.fieldNames()).write.mode("errorifexists").option("header", "true").csv(path)
 
 
-# Largest result exported through one task by :func:`export_csv` with ``single_file=True``.
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               max_single_file_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """S-09. CSV with header. ``single_file`` funnels rows through one task, so it is
-    only allowed after a row-count check; larger results are written in parallel."""
-    out = df
-    if single_file:
-        n = df.count()
-        if n > max_single_file_rows:
-            raise ValueError(f"{n} rows is too many for a single-file export "
-                             f"(limit {max_single_file_rows}); write it in parallel")
-        out = df.coalesce(1)
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """S-09. CSV with header, one file per task. ``single_file`` shuffles the finished
+    rows to one writing task; everything before that write stays parallel."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("errorifexists").option("header", "true").csv(path)
 
 
@@ -100,13 +89,15 @@ def write_table(df: DataFrame, path: str, table: KeyedTable,
     sized without a sampling pass over the input. Rows are then sorted within each
     task by (partition, clustering) columns: few files per directory, clustering
     order inside each file (min/max row-group skipping on range filters). Tables
-    without directory partitioning keep their upstream partitioning (no extra
-    shuffle) and are only sorted within tasks. ``observe`` = (Observation, *metric
+    without directory partitioning are dealt by ranges of their first clustering column,
+    so a lookup on it opens the files of one range. ``observe`` = (Observation, *metric
     columns) collects row metrics during the write itself.
     """
     out = df.select(*table.columns)
     if table.partition_by:
         out = out.hint("rebalance", *table.partition_by)
+    elif table.cluster_by:
+        out = out.repartitionByRange(table.cluster_by[0])
     order = list(table.partition_by) + list(table.cluster_by)
     if order:
         out = out.sortWithinPartitions(*order)

@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_CHECK
 from oracle_check import compare, duck
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tarmac.plans.oracle import ORACLE
+from tarmac.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
