@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session told to hand rows to Python in batches bounded by bytes:
+    long texts would otherwise make batches of tens of megabytes in every worker."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: computed once, its
     lineage cut, and safe against lost executors."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import staged, table
+from tarmac.llm.common import bounded_batches, staged, table
 from tarmac.llm.tokens import ALNUM, POSITION, row_slices, word_hashes
 
 MASKS = ("11110111", "110110111", "1110010111", "101101100111")
@@ -206,7 +206,7 @@ def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
 
 def with_overlaps(docs: DataFrame, benchmark: DataFrame, out: str, text_col: str = "text") -> DataFrame:
     """``docs`` plus an array column of verified overlaps with benchmark items."""
-    df = docs
+    df = bounded_batches(docs)
     found = []
     for index in indexes(benchmark):
         found.append(_overlap_udf(index)(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))

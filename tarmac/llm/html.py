@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import table
+from tarmac.llm.common import bounded_batches, table
 
 # Element and attribute words with a known role.
 BLOCK_TAGS = frozenset("""html body head address article aside blockquote button center dd details dialog
@@ -359,7 +359,7 @@ def _labelled(page: pa.Array) -> pa.Array:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> np.ndarray:
     """The text model's weights from a bounded sample of pages."""
-    sample = (pages.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).alias("html"))
+    sample = (bounded_batches(pages).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).alias("html"))
               .filter(F.col("html").isNotNull()).select("h", _labelled("html").alias("rows"))
               .filter(F.size("rows") > 0).orderBy("h", F.hash("rows")).limit(TRAIN_PAGES).collect())
     rows = np.array([r for s in sample for r in s.rows]).reshape(-1, 1 + len(DEFAULT_WEIGHTS))
@@ -372,7 +372,7 @@ def with_main_text(pages: DataFrame, weights: np.ndarray, out: str, html_col: st
     def extract(page: pa.Array) -> pa.Array:
         return pa.array([main_text(p.as_py(), weights) for p in page], pa.string())
 
-    return pages.withColumn(out, extract(F.col(html_col).cast("string")))
+    return bounded_batches(pages).withColumn(out, extract(F.col(html_col).cast("string")))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import table
+from tarmac.llm.common import bounded_batches, table
 from tarmac.llm.tokens import row_slices
 
 # The bounded training sample: so many documents per language (smallest hash of the id),
@@ -203,7 +203,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def with_language(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
     """``docs`` plus a struct column (lang_pred, score) predicted from the text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def language(text: pa.Array) -> pa.Array:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import components, keep_ids, staged, table
+from tarmac.llm.common import bounded_batches, components, keep_ids, staged, table
 from tarmac.llm.tokens import mix, row_slices, shingles, word_hashes
 
 WIDTH = 5             # words per shingle
@@ -102,7 +102,7 @@ SKETCH = "doc_id long, n_shingles long, print_a long, print_b long, bands array<
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: set size, a 128-bit fingerprint of the whole set, and the band keys."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(_sketch, SKETCH)
 
 

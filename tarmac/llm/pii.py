@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.llm.bilstm import Tagger, decode, fit
-from tarmac.llm.common import table
+from tarmac.llm.common import bounded_batches, table
 
 KINDS = ("email", "ip", "card", "phone")  # in the order that breaks ties of start
 WINDOW, STRIDE = 96, 48
@@ -300,7 +300,7 @@ def training_rows(windows: list[str], seed: int = 11) -> tuple[np.ndarray, np.nd
 
 def train(docs: DataFrame, text_col: str = "text") -> Tagger | None:
     """Fits the tagger on the bounded sample of windows; None if there is none."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    texts = bounded_batches(docs).select(F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]"))
     rows = (texts.select(F.explode(_windows("text")).alias("w")).distinct()
             .orderBy(F.xxhash64("w"), "w").limit(TRAIN_WINDOWS).collect())
     x, y = training_rows([r.w for r in rows])
@@ -336,7 +336,7 @@ _FOUND = pa.struct([*[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa
 def with_spans(docs: DataFrame, tagger: Tagger | None, out: str, text_col: str = "text") -> DataFrame:
     """``docs`` plus a struct column: base counts per kind, the digest of the base spans,
     all spans (kind:start:end, joined by commas) and how many the tagger added."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    shared = bounded_batches(docs).sparkSession.sparkContext.broadcast(tagger)
 
     @F.arrow_udf(FOUND)
     def find(text: pa.Array) -> pa.Array:
@@ -354,7 +354,7 @@ def with_spans(docs: DataFrame, tagger: Tagger | None, out: str, text_col: str =
 
 def redacted(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> DataFrame:
     """``docs`` with the spans of ``text_col`` replaced by their kinds; other columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    shared = bounded_batches(docs).sparkSession.sparkContext.broadcast(tagger)
 
     @F.arrow_udf("string")
     def clean(text: pa.Array) -> pa.Array:

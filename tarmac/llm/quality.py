@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import staged, table
+from tarmac.llm.common import bounded_batches, staged, table
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 HOST_LIMIT = 0.5
@@ -114,7 +114,7 @@ def prior_weight(mean: float, square: float, total: int, squares: int, hosts: in
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per document row: the measures, ``base_failed``, ``kept``, ``host_kept``."""
     rules = list(RULES)
-    measured = (docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"),
+    measured = (bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"),
                             _measures(F.col(text_col).cast("string")).alias("m"))
                 .select("doc_id", "host", "m.*")
                 .select("*", *[F.expr(f"cast({cond} as int)").alias(r) for r, cond in RULES.items()]))

@@ -67,7 +67,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def row_slices(column: pa.Array, size: int = 4 << 20) -> list[tuple[int, int]]:
+def row_slices(column: pa.Array, size: int = 1 << 20) -> list[tuple[int, int]]:
     """Consecutive row ranges of about ``size`` text bytes (one row at least), so that a
     batch's temporary arrays stay small whatever the batch holds."""
     off = text_buffer(column)[1]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import staged, table
+from tarmac.llm.common import bounded_batches, staged, table
 from tarmac.session import scratch_path
 
 LINE, END = "\r\n", "\r\n\r\n"
@@ -49,7 +49,7 @@ def _digest(payload: pa.Array) -> pa.Array:
 def payloads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
              payload_col: str = "html") -> DataFrame:
     """(page_id, url, payload, digest and byte length of the payload's UTF-8 form)."""
-    named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+    named = bounded_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
     return named.select("*", _digest(F.col("payload").cast("binary")).alias("payload_digest"),
                         F.octet_length("payload").cast("long").alias("payload_bytes"))
