@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded_batches(df: DataFrame) -> DataFrame:
     """``df``, with its session told to hand rows to Python in batches bounded by bytes:
-    long texts would otherwise make batches of tens of megabytes in every worker."""
+    long texts would otherwise make batches, and off-heap buffers, of tens of megabytes."""
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
     return df
 
 

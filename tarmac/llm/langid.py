@@ -33,7 +33,7 @@ from tarmac.llm.tokens import row_slices
 
 # The bounded training sample: so many documents per language (smallest hash of the id),
 # so many first code points of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 64, 400
+SAMPLE_DOCS, SAMPLE_CHARS = 64, 256
 ALPHABET = 200
 PIECE = 256       # symbols parsed in a row
 LANES = 1 << 20   # symbols in flight at once
