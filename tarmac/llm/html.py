@@ -359,9 +359,12 @@ def _labelled(page: pa.Array) -> pa.Array:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> np.ndarray:
     """The text model's weights from a bounded sample of pages."""
-    sample = (bounded_batches(pages).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).alias("html"))
-              .filter(F.col("html").isNotNull()).select("h", _labelled("html").alias("rows"))
-              .filter(F.size("rows") > 0).orderBy("h", F.hash("rows")).limit(TRAIN_PAGES).collect())
+    named = bounded_batches(pages).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"),
+                                          F.col(html_col).alias("html")).filter(F.col("html").isNotNull())
+    # The hashes alone decide which pages are read; only those are cut into blocks.
+    last = named.select("h").orderBy("h").limit(TRAIN_PAGES).agg(F.max("h")).first()[0]
+    sample = (named.filter(F.col("h") <= F.lit(last)).select("h", _labelled("html").alias("rows"))
+              .orderBy("h", F.hash("rows")).limit(TRAIN_PAGES).collect())
     rows = np.array([r for s in sample for r in s.rows]).reshape(-1, 1 + len(DEFAULT_WEIGHTS))
     return fit(rows[:, 1:], rows[:, 0])
 
