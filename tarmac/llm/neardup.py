@@ -10,8 +10,10 @@ not with their pairs. Candidates are confirmed on the full shingle sets.
 
 With 40 bands of 4 bins a pair at similarity 0.75 shares no bucket with probability
 (1 - 0.75**4) ** 40 = 2.5e-7. A pair that does share buckets is compared directly where
-one of the two is a centre; pairs between two non-centres are reached through the
-centre's component (see README for the recall measured against all pairs).
+one of the two is a centre; other pairs matter only where their bucket still holds more
+than one group afterwards. Such buckets take further turns around other centres, drawn
+from all their groups alike, until a turn finds no further link (see README for the recall
+measured against all pairs).
 
 Defined results for odd input: null or blank text has no shingles, links with nothing and
 is its own component; rows with a null id link with nothing (component null, kept); rows
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import bounded_batches, components, keep_ids, staged, table
@@ -34,6 +36,7 @@ WIDTH = 5             # words per shingle
 THRESHOLD = (75, 100)  # link when 100 * intersection >= 75 * union
 BINS, ROWS = 160, 4    # 40 bands of 4 bins
 PROBES = 64
+DRAWS = 4              # a further turn draws twice as many centres per bucket
 
 _probe = np.random.Generator(np.random.PCG64(7)).integers(0, BINS, (PROBES, BINS))
 
@@ -106,16 +109,74 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.col(text_col).alias("text")).mapInArrow(_sketch, SKETCH)
 
 
-def star_candidates(sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b): every member of a bucket with its smallest and largest one."""
+def bucket_members(sets: DataFrame) -> DataFrame:
+    """(key, doc_id, members, lo, hi) of the buckets that hold two documents or more."""
     rows = sets.select(F.explode("bands").alias("key"), "doc_id")
-    stars = (rows.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-             .filter("lo < hi"))
-    pairs = (rows.join(stars, "key")  # a hot bucket is a skewed join, which AQE splits
-             .select("doc_id", F.explode(F.array("lo", "hi")).alias("centre"))
+    stars = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("lo"),
+                                     F.max("doc_id").alias("hi")).filter("lo < hi"))
+    return rows.join(stars, "key")  # a hot bucket is a skewed join, which AQE splits
+
+
+def star_candidates(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b): every member of a bucket with its ``lo`` and ``hi`` centre."""
+    pairs = (members.select("doc_id", F.explode(F.array("lo", "hi")).alias("centre"))
              .filter("doc_id <> centre")
              .select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.distinct()
+
+
+def left_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, doc_id, label) of the buckets whose members bear more than one label; a
+    document that ``labels`` (node, component) lacks is its own label."""
+    rows = (members.select("key", "doc_id").join(labels, F.col("doc_id") == F.col("node"), "left")
+            .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label")))
+    several = (rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+               .filter("least < most").select("key"))
+    return rows.join(several, "key", "left_semi")
+
+
+def turned_candidates(rows: DataFrame, turn: int) -> DataFrame:
+    """Stars around ``2 * DRAWS`` other centres per bucket, drawn by hashes of (label,
+    bucket, turn): a lone document is as likely a centre as one of a large group. Only
+    pairs of different labels are given."""
+    def drawn(k: int) -> Column:
+        seed = F.lit(turn * DRAWS + k)
+        return F.struct(F.xxhash64("label", "key", seed).alias("by_label"),
+                        F.xxhash64("doc_id", "key", seed).alias("by_id"), "doc_id", "label")
+
+    stars = rows.groupBy("key").agg(F.array_distinct(F.array(
+        *[F.struct(f(drawn(k))["doc_id"].alias("doc_id"), f(drawn(k))["label"].alias("label"))
+          for k in range(DRAWS) for f in (F.min, F.max)])).alias("centres"))
+    pairs = (rows.join(stars, "key").select("doc_id", "label", F.explode("centres").alias("centre"))
+             .filter("label <> centre.label")
+             .select(F.least("doc_id", "centre.doc_id").alias("a"),
+                     F.greatest("doc_id", "centre.doc_id").alias("b")))
+    return pairs.distinct()
+
+
+def all_links(members: DataFrame, docs: DataFrame, sizes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Confirmed links (a, b) that join all documents the buckets can join: the stars of
+    the first turn, then, for buckets that still hold several groups, stars around other
+    centres until a turn finds no further link."""
+    links = staged(confirmed(star_candidates(members), docs, sizes, id_col, text_col), "neardup-links")
+    # Up to three members, the two centres have met everyone.
+    rows = staged(left_open(members.filter("members > 3"), components(links)), "neardup-open")
+    turn = 0
+    while not rows.isEmpty():
+        turn += 1
+        more = staged(confirmed(turned_candidates(rows, turn), docs, sizes, id_col, text_col), "neardup-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        label = rows.select("doc_id", "label").distinct()
+        merged = components(more.join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b")
+                            .select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        rows = rows.join(merged, F.col("label") == F.col("node"), "left").select(
+            "key", "doc_id", F.coalesce("component", "label").alias("label"))
+        several = (rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+                   .filter("least < most").select("key"))
+        rows = staged(rows.join(several, "key", "left_semi"), "neardup-open")
+    return links
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = linkable.groupBy(*prints).agg(F.min("doc_id").alias("rep"))
     classes = staged(classes, "neardup-classes")
     reps = linkable.join(classes.withColumnRenamed("rep", "doc_id"), [*prints, "doc_id"], "left_semi")
-    pairs = star_candidates(reps).select("a", "b")
+    members = staged(bucket_members(reps), "neardup-buckets")
     sizes = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.max("n_shingles").alias("n"))
-    links = confirmed(pairs, docs, sizes, id_col, text_col)
+    links = all_links(members, docs, sizes, id_col, text_col)
     # Ids on rows of several classes tie those classes together.
     shared = (linkable.select(*prints, "doc_id").join(classes, prints)
               .groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))

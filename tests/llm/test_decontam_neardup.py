@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import pyarrow.parquet as pq
 from llm_cases import DOCS, docs, no_docs, ordered
+from pyspark.sql import functions as F
 
 from tarmac.llm import decontam, neardup
-from tarmac.llm.common import table
+from tarmac.llm.common import components, table
 
 SF = "/root/testdata/sf0.01"
 ITEMS = "item_id long, text string, doc_id int"
@@ -130,6 +131,32 @@ def test_near_copies_of_any_shape(spark):
     assert got == plain_groups(texts)
 
 
+def test_links_between_documents_that_are_no_centre(spark):
+    rng = random.Random(21)
+    base, texts = words(rng, 150), {}
+    for g in range(60):  # pairs linked inside, close to but under the threshold outside
+        one = list(base)
+        for p in rng.sample(range(150), 5):
+            one[p] = f"x{g}y{p}"
+        two = list(one)
+        two[rng.randrange(150)] = f"z{g}"
+        texts[g], texts[1000 - g] = " ".join(one), " ".join(two)
+    expected = plain_groups(texts)
+    assert len({c for _, c in expected.values()}) > 40
+    data = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # As if all documents met in the same twelve buckets: stars alone miss most links.
+    sizes = neardup.sketches(data).select("doc_id", F.col("n_shingles").alias("n"))
+    members = sizes.select(F.explode(F.sequence(F.lit(1), F.lit(12))).alias("key"), "doc_id",
+                           F.lit(120).alias("members"), F.lit(0).alias("lo"), F.lit(1000).alias("hi"))
+    first = neardup.confirmed(neardup.star_candidates(members), data, sizes)
+    assert first.count() == 1
+    whole = neardup.all_links(members, data, sizes, "doc_id", "text")
+    found = {r.node: r.component for r in components(whole).collect()}
+    assert {i: found.get(i, i) for i in texts} == {i: c for i, (_, c) in expected.items()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(data).collect()}
+    assert got == expected
+
+
 def test_signature_similarity_is_unbiased():
     import numpy as np
     rng = np.random.default_rng(3)
