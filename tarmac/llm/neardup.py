@@ -11,9 +11,9 @@ not with their pairs. Candidates are confirmed on the full shingle sets.
 With 40 bands of 4 bins a pair at similarity 0.75 shares no bucket with probability
 (1 - 0.75**4) ** 40 = 2.5e-7. A pair that does share buckets is compared directly where
 one of the two is a centre; other pairs matter only where their bucket still holds more
-than one group afterwards. Such buckets take further turns around other centres, drawn
-from all their groups alike, until a turn finds no further link (see README for the recall
-measured against all pairs).
+than one group afterwards. The documents of such buckets are dealt anew by their rarest
+shingles (linked documents must share one), and stars around further centres are drawn
+there until a turn finds no further link (see README for the recall against all pairs).
 
 Defined results for odd input: null or blank text has no shingles, links with nothing and
 is its own component; rows with a null id link with nothing (component null, kept); rows
@@ -23,6 +23,7 @@ that repeat an id are one node; ties go to the smallest id; an empty table gives
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -125,58 +126,96 @@ def star_candidates(members: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def left_open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, doc_id, label) of the buckets whose members bear more than one label; a
-    document that ``labels`` (node, component) lacks is its own label."""
-    rows = (members.select("key", "doc_id").join(labels, F.col("doc_id") == F.col("node"), "left")
-            .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label")))
+def left_open(rows: DataFrame) -> DataFrame:
+    """The rows (key, label, ...) of the buckets whose members bear more than one label."""
     several = (rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
                .filter("least < most").select("key"))
     return rows.join(several, "key", "left_semi")
 
 
+def finer_buckets(labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, doc_id, label, n, at): a row for each of a document's rarest shingles, as many as
+    any linked document must share one of (n - ceil(threshold * n) + 1), with its rank. Documents that
+    met in a band and are not similar enough seldom meet here again."""
+    num, den = THRESHOLD
+    each = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    rarest = (each.join(often, "key").groupBy("doc_id", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("sorted"))
+              .select("doc_id", "n", F.expr(f"slice(sorted, 1, n - (n * {num} + {den - 1}) div {den} + 1)")
+                      .alias("rarest")))
+    rows = rarest.select("doc_id", "n", F.posexplode("rarest").alias("at", "rare")).filter("rare.often > 1")
+    return rows.join(labels, "doc_id").select(F.col("rare.key").alias("key"), "doc_id", "label", "n", "at")
+
+
 def turned_candidates(rows: DataFrame, turn: int) -> DataFrame:
-    """Stars around ``2 * DRAWS`` other centres per bucket, drawn by hashes of (label,
-    bucket, turn): a lone document is as likely a centre as one of a large group. Only
-    pairs of different labels are given."""
+    """Stars around ``2 * DRAWS`` centres per bucket, drawn by hashes of (label, bucket,
+    turn): a lone document is as likely a centre as one of a large group. Gives the pairs
+    (a, b) of different labels that can be links: what two documents can share from their
+    first common shingle on is bounded by what either has from there. By the same bound
+    the smaller document has that shingle early, so centres are drawn from early rows."""
+    num, den = THRESHOLD
+
     def drawn(k: int) -> Column:
         seed = F.lit(turn * DRAWS + k)
         return F.struct(F.xxhash64("label", "key", seed).alias("by_label"),
-                        F.xxhash64("doc_id", "key", seed).alias("by_id"), "doc_id", "label")
+                        F.xxhash64("doc_id", "key", seed).alias("by_id"), "doc_id", "label", "n", "at")
+
+    def centre(c: Column) -> Column:
+        return F.struct(*[c[f].alias(f) for f in ("doc_id", "label", "n", "at")])
 
-    stars = rows.groupBy("key").agg(F.array_distinct(F.array(
-        *[F.struct(f(drawn(k))["doc_id"].alias("doc_id"), f(drawn(k))["label"].alias("label"))
-          for k in range(DRAWS) for f in (F.min, F.max)])).alias("centres"))
-    pairs = (rows.join(stars, "key").select("doc_id", "label", F.explode("centres").alias("centre"))
+    early = rows.filter((num + den) * (F.col("n") - F.col("at")) >= 2 * num * F.col("n"))
+    stars = early.groupBy("key").agg(F.array_distinct(F.array(
+        *[centre(f(drawn(k))) for k in range(DRAWS) for f in (F.min, F.max)])).alias("centres"))
+    pairs = (rows.join(stars, "key").select("doc_id", "label", "n", "at", F.explode("centres").alias("centre"))
              .filter("label <> centre.label")
+             .filter((num + den) * F.least(F.col("n") - F.col("at"), F.col("centre.n") - F.col("centre.at"))
+                     >= num * (F.col("n") + F.col("centre.n")))
              .select(F.least("doc_id", "centre.doc_id").alias("a"),
                      F.greatest("doc_id", "centre.doc_id").alias("b")))
     return pairs.distinct()
 
 
-def all_links(members: DataFrame, docs: DataFrame, sizes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Confirmed links (a, b) that join all documents the buckets can join: the stars of
-    the first turn, then, for buckets that still hold several groups, stars around other
-    centres until a turn finds no further link."""
+def linked_groups(reps: DataFrame, members: DataFrame, docs: DataFrame, sizes: DataFrame, shared: DataFrame,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component) of every document of ``reps`` (column ``node``).
+
+    The buckets' stars and the edges ``shared`` give first groups. Documents of buckets
+    with more than three members that then still hold several groups are dealt anew by
+    their rarest shingles, and stars around other centres are drawn there until a turn
+    finds no further link.
+    """
     links = staged(confirmed(star_candidates(members), docs, sizes, id_col, text_col), "neardup-links")
-    # Up to three members, the two centres have met everyone.
-    rows = staged(left_open(members.filter("members > 3"), components(links)), "neardup-open")
-    turn = 0
+    first = staged(components(links.unionByName(shared)), "neardup-groups")
+    groups = (reps.join(first, "node", "left")
+              .select("node", F.coalesce("component", "node").alias("component")))
+    rows = members.filter("members > 3").select("key", F.col("doc_id").alias("node"))
+    rows = left_open(rows.join(groups, "node").withColumnRenamed("component", "label"))
+    labels = staged(rows.select(F.col("node").alias("doc_id"), "label").distinct(), "neardup-open")
+    if labels.isEmpty():
+        return groups
+    sets = shingle_sets(docs, labels.select("doc_id"), id_col, text_col)
+    rows = staged(left_open(finer_buckets(labels, sets)), "neardup-finer")
+    turn, joined = 0, []
     while not rows.isEmpty():
         turn += 1
-        more = staged(confirmed(turned_candidates(rows, turn), docs, sizes, id_col, text_col), "neardup-links")
-        if more.isEmpty():
+        more = verified(staged(turned_candidates(rows, turn), "neardup-pairs"), sets)
+        edges = staged(more.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
+                       .select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "neardup-joined")
+        if edges.isEmpty():
             break
-        links = links.unionByName(more)
-        label = rows.select("doc_id", "label").distinct()
-        merged = components(more.join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b")
-                            .select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        rows = rows.join(merged, F.col("label") == F.col("node"), "left").select(
-            "key", "doc_id", F.coalesce("component", "label").alias("label"))
-        several = (rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-                   .filter("least < most").select("key"))
-        rows = staged(rows.join(several, "key", "left_semi"), "neardup-open")
-    return links
+        joined.append(edges)
+        merged = staged(components(edges), "neardup-merged")
+        rows = (rows.join(merged, F.col("label") == F.col("node"), "left")
+                .select("key", "doc_id", F.coalesce("component", "label").alias("label"), "n", "at"))
+        rows = staged(left_open(rows), "neardup-finer")
+        labels = staged(labels.join(merged, F.col("label") == F.col("node"), "left")
+                        .select("doc_id", F.coalesce("component", "label").alias("label")), "neardup-open")
+    if not joined:
+        return groups
+    merged = components(reduce(DataFrame.unionByName, joined)).toDF("component", "whole")
+    return (groups.join(staged(merged, "neardup-merged"), "component", "left")
+            .select("node", F.coalesce("whole", "component").alias("component")))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +242,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, id_col: str =
                 .join(sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb")), "b")
                 .filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb")))
     possible = staged(possible.select("a", "b"), "neardup-pairs")
-    wanted = possible.select(F.explode(F.array("a", "b")).alias("_wanted")).distinct()
-    texts = keep_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).alias("text")), F.col("doc_id"), wanted, "_wanted")
+    wanted = possible.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return verified(possible, shingle_sets(docs, wanted, id_col, text_col))
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, shingles) of the documents whose id is in ``ids``, stored."""
+    texts = keep_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
+                     F.col("doc_id"), ids.select(F.col("doc_id").alias("_wanted")), "_wanted")
     sets = staged(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "neardup-sets")
-    sets = sets.dropDuplicates()
-    both = (possible.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+    return sets.dropDuplicates()
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that reach the threshold on their full sets."""
+    num, den = THRESHOLD
+    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
     return (both.filter(den * common >= num * (F.size("sa") + F.size("sb") - common))
-            .select("a", "b"))
+            .select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,12 +275,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = linkable.join(classes.withColumnRenamed("rep", "doc_id"), [*prints, "doc_id"], "left_semi")
     members = staged(bucket_members(reps), "neardup-buckets")
     sizes = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.max("n_shingles").alias("n"))
-    links = all_links(members, docs, sizes, id_col, text_col)
     # Ids on rows of several classes tie those classes together.
     shared = (linkable.select(*prints, "doc_id").join(classes, prints)
               .groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
               .filter("a < b").select("a", "b"))
-    groups = components(links.unionByName(shared))
+    groups = linked_groups(classes.select(F.col("rep").alias("node")).distinct(), members, docs, sizes, shared,
+                           id_col, text_col)
     classes = (classes.join(groups, classes.rep == groups.node, "left")
                .select(*prints, F.coalesce("component", "rep").alias("component")))
     # Blank texts and null ids have no class; a hot class is a skewed join, which AQE splits.

@@ -7,7 +7,7 @@ from llm_cases import DOCS, docs, no_docs, ordered
 from pyspark.sql import functions as F
 
 from tarmac.llm import decontam, neardup
-from tarmac.llm.common import components, table
+from tarmac.llm.common import table
 
 SF = "/root/testdata/sf0.01"
 ITEMS = "item_id long, text string, doc_id int"
@@ -150,9 +150,9 @@ def test_links_between_documents_that_are_no_centre(spark):
                            F.lit(120).alias("members"), F.lit(0).alias("lo"), F.lit(1000).alias("hi"))
     first = neardup.confirmed(neardup.star_candidates(members), data, sizes)
     assert first.count() == 1
-    whole = neardup.all_links(members, data, sizes, "doc_id", "text")
-    found = {r.node: r.component for r in components(whole).collect()}
-    assert {i: found.get(i, i) for i in texts} == {i: c for i, (_, c) in expected.items()}
+    found = neardup.linked_groups(sizes.select(F.col("doc_id").alias("node")), members, data, sizes,
+                                  first.limit(0)).collect()
+    assert dict(map(tuple, found)) == {i: c for i, (_, c) in expected.items()}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(data).collect()}
     assert got == expected
 
