@@ -7,6 +7,11 @@ coefficient (at most 2 * smaller / (smaller + larger)), so a unit meets only tem
 a fitting size, and only through bigrams they share. A text without any of the templates'
 ``signals`` cannot reach the threshold and is not cut up.
 
+A notice may be spread over several units (paragraphs, sentences of a long line). Licences
+that no unit of a document states are sought in its runs: any neighbouring sentences and
+lines, also across empty lines. A run that reaches the threshold counts where no better run
+overlaps it (``run_matches``); ``n_units`` is then the number of such runs.
+
 DataFrame functions only. The templates are a fixed list, so their bigrams go to every
 task; texts are not shuffled, only the bigrams they share with a template are.
 
@@ -23,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import once, table
+from tarmac.llm.common import once, staged, table
 
 THRESHOLD = (85, 100)  # 100 * 2 * common >= 85 * all
 
@@ -122,11 +127,84 @@ def template_bigrams(spark: SparkSession, templates: list[tuple[str, str]]) -> D
             .agg(F.count(F.lit(1)).alias("tc")))
 
 
+def text_bigrams(texts: DataFrame) -> DataFrame:
+    """(doc_id, key, bigram, pos, s, e) of the texts (doc_id, text): the bigram at word
+    ``pos``, the first word of the sentence in which it begins and the last word of the one
+    in which it ends. ``key`` names the row's id and text."""
+    key = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("text")), 256)
+    pieces = F.split("text", r"\n|(?<=[.!?])[ \t]+")
+    split = once(texts, _pieces=F.filter(F.transform(pieces, lambda p: F.split(normalised(p), " ")),
+                                         lambda w: w[0] != ""))
+    split = split.select("doc_id", key.alias("key"), F.flatten(F.transform("_pieces", lambda w: F.transform(
+        w, lambda x, k: F.struct(x.alias("w"), k.alias("k"), F.size(w).alias("n"))))).alias("_words"))
+    split = once(split, _w=F.col("_words")).filter(F.size("_w") > 1)
+    pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda i: F.struct(
+        F.concat_ws(" ", F.col("_w")[i]["w"], F.col("_w")[i + 1]["w"]).alias("bigram"), i.alias("pos"),
+        (i - F.col("_w")[i]["k"]).alias("s"),
+        (i + F.col("_w")[i + 1]["n"] - F.col("_w")[i + 1]["k"]).alias("e")))
+    return split.select("doc_id", "key", F.inline(pairs))
+
+
+def run_matches(texts: DataFrame, known: DataFrame, most: int, threshold: tuple[int, int]) -> DataFrame:
+    """(doc_id, license, n_units, best_dice) by runs of neighbouring sentences and lines of
+    the texts (doc_id, text); ``most`` bounds a run's bigrams.
+
+    A run begins in a sentence in which a bigram of the template begins and ends in one in
+    which such a bigram ends: more sentences only lower its coefficient. Where fewer of the
+    template's bigrams stand within its largest size than any match must share, no run is
+    formed. All joins are within a text and a stretch of ``most + 1`` words.
+    """
+    num, den = F.lit(threshold[0]), F.lit(threshold[1])
+    width = F.lit(most + 1)
+    place = lambda c: F.floor(F.col(c) / width)
+    hits = text_bigrams(texts).join(known, "bigram").distinct()
+    # common >= num / (2 * den - num) * tn, and n <= (2 * den - num) / num * tn.
+    largest = (2 * den - num) * F.col("tn") / num
+    text_order = Window.partitionBy("key", "template").orderBy(F.col("pos") / (largest + 1))
+    near = lambda a, b: F.count(F.lit(1)).over(text_order.rangeBetween(a, b))
+    dense = (hits.withColumn("before", near(-1, 0)).withColumn("after", near(0, 1))
+             .withColumn("rank", F.count(F.lit(1)).over(text_order.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("least", num * F.col("tn") / (2 * den - num) - 1e-6))
+    begin = (dense.filter("after >= least").groupBy("doc_id", "key", "template", "license", "tn", "s")
+             .agg(F.min("rank").alias("first")).withColumn("place", place("s")))
+    end = (dense.filter("before >= least").groupBy("key", "template", "e").agg(F.max("rank").alias("last"))
+           .withColumn("place", F.explode(F.array(place("e"), place("e") - 1))))
+    n = F.col("e") - F.col("s")
+    runs = (begin.join(end, ["key", "template", "place"]).withColumn("n", n)
+            .filter((F.col("n") > 0) & (2 * den * F.least("n", "tn", F.col("last") - F.col("first") + 1)
+                                        >= num * (F.col("n") + F.col("tn")))))
+    parts = hits.select("key", "template", "bigram", "pos", "tc",
+                        F.explode(F.array(place("pos"), place("pos") - 1)).alias("place"))
+    run = ["doc_id", "key", "template", "license", "tn", "s", "e", "n"]
+    common = (runs.join(parts, ["key", "template", "place"]).filter("pos >= s and pos < e")
+              .groupBy(*run, "bigram").agg(F.least(F.count(F.lit(1)), F.max("tc")).alias("c"))
+              .groupBy(*run).agg(F.sum("c").alias("c")))
+    alike = common.filter(2 * den * F.col("c") >= num * (F.col("n") + F.col("tn")))
+    alike = staged(alike.groupBy("doc_id", "key", "license", "s", "e")
+                   .agg(F.max(2.0 * F.col("c") / (F.col("n") + F.col("tn"))).alias("d")), "license-runs")
+    # A run counts where no better one of its licence overlaps it, and none of another
+    # licence overlaps half of it: it states the licence it is closest to.
+    other = alike.select("key", *[F.col(c).alias("o_" + c) for c in ("license", "s", "e", "d")])
+    other = other.withColumn("place", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))),
+                                                            lambda k: place("o_s") + k)))
+    shared = F.least("e", "o_e") - F.greatest("s", "o_s") + 1
+    same = F.col("license") == F.col("o_license")
+    better = (same & ((F.col("o_d") > F.col("d")) | (F.col("o_d") == F.col("d")) & (
+        (F.col("o_s") < F.col("s")) | (F.col("o_s") == F.col("s")) & (F.col("o_e") < F.col("e"))))
+        | ~same & (F.col("o_d") > F.col("d")) & (2 * shared >= F.col("e") - F.col("s") + 1))
+    mine = alike.withColumn("place", place("s"))
+    beaten = (mine.join(other, ["key", "place"]).filter((shared > 0) & better)
+              .select("key", "license", "s", "e").distinct())
+    best = alike.join(beaten, ["key", "license", "s", "e"], "left_anti")
+    return best.groupBy("doc_id", "license").agg(F.count(F.lit(1)).alias("n_units"), F.max("d").alias("best_dice"))
+
+
 def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
                     threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, license, n_units, best_dice): the licences a document states, with the
-    number of its distinct units that do and the best coefficient."""
+    number of its distinct units that do (of its runs, where no unit does) and the best
+    coefficient."""
     num, den = threshold
     known = F.broadcast(template_bigrams(docs.sparkSession, templates))  # a fixed list
     sizes = [len(re.findall(r"[a-z0-9]+", t.lower())) - 1 for _, t in templates]
@@ -136,7 +214,8 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
                  text=F.lower("_text")).select("doc_id", "text")
     hopeful = reduce(lambda a, b: a | b, [F.contains("text", F.lit(s)) for s in signals([t for _, t in templates],
                                                                                         threshold)])
-    found = texts.filter(hopeful).select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
+    texts = texts.filter(hopeful)
+    found = texts.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
     spaces = F.length("unit") - F.length(F.replace("unit", F.lit(" ")))  # bigrams of the unit
     found = found.filter(spaces.between(least, most)).distinct()
     num_, den_ = F.lit(num), F.lit(den)
@@ -150,7 +229,13 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     # A unit states the licence it is closest to.
     closest = Window.partitionBy("doc_id", "unit")
     best = best.withColumn("top", F.max("d").over(closest)).filter("d = top")
-    return best.groupBy("doc_id", "license").agg(F.count(F.lit(1)).alias("n_units"), F.max("d").alias("best_dice"))
+    single = staged(best.groupBy("doc_id", "license").agg(F.count(F.lit(1)).alias("n_units"),
+                                                          F.max("d").alias("best_dice")), "license-units")
+    runs = run_matches(texts, known, most, threshold)
+    stated = single.select(F.col("doc_id").alias("_id"), F.col("license").alias("_license"))
+    more = runs.join(stated, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("license") == F.col("_license")),
+                     "left_anti")
+    return single.unionByName(more)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

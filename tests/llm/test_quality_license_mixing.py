@@ -120,3 +120,24 @@ def test_schedule_is_even_and_whole(spark):
     share = [sum(r["rank"] == 0 for r in got[:n]) / n for n in (50, 100, 200, 400)]
     assert all(abs(x - 189 / 511) < 0.05 for x in share)
     assert len(rows(mixing.schedule(targets.limit(0)))) == 0
+
+
+def test_license_notices_of_several_paragraphs(spark):
+    gpl, apache = license.TEMPLATES[12][1], license.TEMPLATES[1][1]
+    prose = " ".join(f"plain{k}" for k in range(45))
+    paragraphs = lambda t: re.sub(r"\.\s+", ".\n\n", t)
+    one_line = lambda t: " ".join(t.split())
+    mit = license.TEMPLATES[17][1]
+    data = [(1, f"Copyright A\n\n{paragraphs(one_line(gpl))}\n\n{prose}"), (2, f"{prose}. {one_line(gpl)} {prose}."),
+            (3, paragraphs(one_line(apache).replace('"License"); you', '"License");\n\nyou'))),
+            (None, f"{prose}.\n\n{paragraphs(one_line(gpl))}"), (4, paragraphs(one_line(gpl))[:150] + prose),
+            (5, f"{prose}.\n\n" + paragraphs(one_line(gpl)) + "\n\n" + mit.replace("conditions:", "conditions:\n\n")),
+            (6, "This work is licensed under the GNU\n\nGeneral Public License,\nversion 3.")]
+    got = {(r.doc_id, r.license): (r.n_units, round(r.best_dice, 2)) for r in license.license_matches(
+        spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[1, "GPL-3.0"] == got[2, "GPL-3.0"] == got[None, "GPL-3.0"] == (1, 1.0)
+    assert got[3, "Apache-2.0"][1] > 0.85
+    assert got[5, "GPL-3.0"] == got[6, "GPL-3.0"] == (1, 1.0)
+    assert got[5, "MIT"] == (1, 0.87)  # its first paragraph alone is a unit that states it
+    assert set(got) == {(1, "GPL-3.0"), (2, "GPL-3.0"), (3, "Apache-2.0"), (None, "GPL-3.0"), (5, "GPL-3.0"),
+                        (5, "MIT"), (6, "GPL-3.0")}
