@@ -9,8 +9,9 @@ character takes its tag from the window in which it lies most central, tags beco
 over the whole text, and a span is added when its value is a sound one of its kind
 (``sound``) and it overlaps no base span. Base spans always stay.
 
-Every kind needs a digit or ``@`` (``TRIGGER``): a window without one cannot hold a sound
-span, so it is not decoded; this changes no result.
+Every sound value holds a digit, an ``@`` or a bracketed ``at`` (``TRIGGER``), so windows
+are decoded around those only. The base kinds hold a digit or ``@`` (``PLAIN``); training
+windows are drawn around those, where base patterns can label.
 
 Defined results for odd input: null and empty texts have no spans; offsets are code
 points; repeated rows are tagged alike; a corpus without any trigger trains no tagger and
@@ -36,8 +37,10 @@ WINDOW, STRIDE = 96, 48
 HIDDEN, ROUNDS, BATCH = 24, 220, 48
 # The tagger is fitted on a bounded sample: so many distinct corpus windows (smallest hash).
 TRAIN_WINDOWS = 1200
+SPELLED = 3  # training rows without digits per window with an e-mail
 LANES = 2048  # windows decoded at once
-TRIGGER = re.compile("[0-9@]")
+PLAIN = re.compile("[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|[\[({]\s*at\s*[\])}]", re.I)
 
 Span = tuple[str, int, int]
 
@@ -85,7 +88,7 @@ def _emails(text: str) -> list[Span]:
 
 def base_spans(text: str) -> list[Span]:
     """Spans of the base patterns by start, then kind."""
-    if not TRIGGER.search(text):
+    if not PLAIN.search(text):
         return []
     out = _emails(text)
     for m in _IP.finditer(text):
@@ -110,8 +113,7 @@ def sound(kind: str, value: str) -> bool:
     """Whether a tagged value is one of its kind once its writing is undone."""
     if kind in ("email", "ip"):
         plain = _DOT.sub(".", _AT.sub("@", value))
-        spans = base_spans(plain)
-        return TRIGGER.search(value) is not None and (kind, 0, len(plain)) in spans
+        return (kind, 0, len(plain)) in base_spans(plain)
     d = _digits(value)
     rest = set(value) - set("0123456789")
     if not value[:1] or value[-1] not in "0123456789":
@@ -180,9 +182,9 @@ def encode(text: str) -> np.ndarray:
     return SYMBOL[np.minimum(points, 0xFFFF)]
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts of the windows to decode: the grid windows that hold a trigger."""
-    found = {max(0, m.start() // STRIDE - d) for m in TRIGGER.finditer(text) for d in (0, 1)}
+def window_starts(text: str, trigger: re.Pattern = TRIGGER) -> list[int]:
+    """Starts of the windows to decode: the grid windows in which a trigger begins."""
+    found = {max(0, m.start() // STRIDE - d) for m in trigger.finditer(text) for d in (0, 1)}
     return [k * STRIDE for k in sorted(found)]
 
 
@@ -263,14 +265,23 @@ def _windows(text: pa.Array) -> pa.Array:
     """Windows around triggers for training; those that cut through a possible span are left out."""
     out = []
     for t in text.to_pylist():
-        pieces = [t[s:s + WINDOW] for s in window_starts(t or "")]
+        pieces = [t[s:s + WINDOW] for s in window_starts(t or "", PLAIN)]
         out.append([p for p in pieces if len(p) > 8 and not re.search(r"[0-9@+().-]", p[:2] + p[-3:])])
     return pa.array(out, pa.list_(pa.string()))
 
 
+def spelled(text: str, rng: np.random.Generator) -> str:
+    """An e-mail without digits, made of words of the text."""
+    words = re.findall("[a-z]{2,12}", text.lower()) or ["mail"]
+    pick = lambda n: [words[k] for k in rng.integers(0, len(words), n)]
+    local = rng.choice([".", "-", "_"]).join(pick(rng.integers(1, 3)))
+    return f"{local}@{'.'.join(pick(rng.integers(1, 3)))}.{pick(1)[0][:rng.integers(2, 4)]}"
+
+
 def training_rows(windows: list[str], seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, tags) of the windows and of two rewritten forms of each labelled one."""
-    rng = np.random.default_rng(seed)
+    """(symbols, tags) of the windows, of two rewritten forms of each labelled one, and of
+    each with other e-mails without digits, plain or rewritten, in an e-mail's place."""
+    rng, rng_spelled = np.random.default_rng(seed), np.random.default_rng(seed + 1)
     xs, ys = [], []
 
     def add(text: str, spans: list[Span]) -> None:
@@ -287,10 +298,15 @@ def training_rows(windows: list[str], seed: int = 11) -> tuple[np.ndarray, np.nd
     for text in windows:
         base = base_spans(text)
         add(text, base)
-        for _ in range(2 if base else 0):
-            kind, a, b = base[rng.integers(len(base))]
+        emails = [s for s in base if s[0] == "email"]
+        for n in range((2 + SPELLED if emails else 2) if base else 0):
+            if n < 2:
+                kind, a, b = base[rng.integers(len(base))]
+                new = rewritten(kind, text[a:b], rng)
+            else:
+                kind, a, b = emails[rng_spelled.integers(len(emails))]
+                new = rewritten(kind, spelled(text, rng_spelled), rng_spelled)
             clash = any(s < b and a < e and (s, e) != (a, b) for _, s, e in base)
-            new = rewritten(kind, text[a:b], rng)
             if not clash and sound(kind, new):
                 shift = len(new) - (b - a)
                 moved = [(k, s + shift * (s > a), e + shift * (s > a)) for k, s, e in base if (s, e) != (a, b)]

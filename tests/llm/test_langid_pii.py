@@ -127,6 +127,35 @@ def test_tagger_finds_other_writings(tagger):
     assert found >= 0.8 * tried
 
 
+AT = (" [at] ", "[at]", " (at) ", "(at)", " @ ", "@")
+DOT = ("[.]", " [dot] ", "(dot)", ".")
+NAMES = ("anna.meier@firma.de", "tom@mail.example.com", "lena.graf@post.example.org", "info@verein.net",
+         "paul-otto@shop.example.com", "die.erste@mail.example.com")
+
+
+def test_emails_without_digits_in_other_writings(tagger):
+    tried = found = 0
+    for at in AT:
+        for dot in DOT:
+            for name in NAMES:
+                value = name.replace("@", at).replace(".", dot)
+                assert pii.sound("email", value)
+                text = f"If you have any questions, write to {value} before the end of the week"
+                assert pii.window_starts(text)
+                spans = pii.all_spans(tagger, [text])[0][1]
+                tried += 1
+                found += ("email", 36, 36 + len(value)) in spans
+    print("digitless", tried, found)
+    assert found >= 0.8 * tried
+
+
+def test_email_without_digits_or_at_sign_is_redacted(spark, tagger):
+    text = "Please write to anna.meier [at] firma [dot] de for the forms"
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.text for r in pii.redacted(one, tagger).collect()] == ["Please write to [EMAIL] for the forms"]
+    assert [r.f.n_added for r in pii.with_spans(one, tagger, "f").collect()] == [1]
+
+
 def test_clean_numbers_are_left_alone(tagger):
     clean = ["Version 2.0 of 3.1.4", "in 1999, 2001 and 2024-01-15 at 10:30", "ISBN 978-3-16", "pages 100-120 of 4000",
              "token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\"", "12 500 000 people", "id 9807915762804491"]
