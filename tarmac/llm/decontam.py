@@ -1,18 +1,19 @@
 """op3: benchmark decontamination by spaced-seed hashing.
 
 Texts and benchmark items become tokens (runs of ASCII letters/digits and non-ASCII
-characters of the lower-cased text). A mask looks at 7 of the 8 to 12 tokens it spans and
-ignores the others, so a passage with some words replaced still agrees with its item on
-some mask at some place. The item windows' hashes are joined with those of all document
-windows; around each hit the item is laid over the text and the longest overlap at
-identity ``IDENTITY`` is verified token by token.
+characters of the lower-cased text). An overlap of k equal tokens with m others between
+them has a run of k / (m + 1) equal tokens; at identity ``IDENTITY`` that is four, or three
+that a mask joins with two or three more (``MASKS``), so every overlap agrees with its item
+on some mask. The item windows' hashes are joined with those of all document windows; at
+each hit the item is laid over the text, and where enough tokens are equal the overlap of
+most equal tokens at that identity is taken.
 
 The benchmark is the query set: it is cut into blocks of about ``BLOCK_TOKENS`` tokens,
 each block goes to every task as one hash index, and every block meets all documents in
 one scan without any shuffle of the corpus. There is no cap on hits, items or text.
 
 Defined results for odd input: null or blank texts and items match nothing; items of
-fewer than ``MIN_TOKENS`` tokens are too short to tell from chance and are not searched;
+fewer than ``MIN_TOKENS`` tokens match where the whole item stands unchanged;
 long items are searched in overlapping pieces of ``PIECE`` tokens and give one row;
 repeated document rows each give their rows; null ids are kept as they are.
 """
@@ -30,11 +31,12 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import bounded_batches, staged, table
 from tarmac.llm.tokens import ALNUM, POSITION, row_slices, word_hashes
 
-MASKS = ("11110111", "110110111", "1110010111", "101101100111")
-MIN_TOKENS = 8        # the shortest mask
-MIN_MATCH = 12        # verified equal tokens (the whole item, if it is shorter)
+# The last three are for items of so many tokens only.
+MASKS = ("1111", "1110111", "111011", "111", "11", "1")
+MIN_TOKENS = 8        # shorter items are searched exactly
+MIN_MATCH = 12        # verified equal tokens (``IDENTITY`` of the item, if that is less)
 IDENTITY = 0.8        # equal tokens / overlap
-MISMATCH = 3          # a mismatch undoes so many matches when an overlap is extended
+ENTRIES = 1 << 20     # index entries, or tokens to compare, looked at together
 PIECE, PIECE_OVERLAP = 4096, 64
 BLOCK_TOKENS = 500_000
 
@@ -52,6 +54,15 @@ def mask_hashes(words: np.ndarray, mask: int) -> np.ndarray:
     return h
 
 
+def mask_serves(mask: int, tokens: int) -> bool:
+    return mask < 3 or tokens == len(MASKS[mask])
+
+
+def needed(tokens: int) -> int:
+    """Equal tokens that make a leak of an item of so many tokens."""
+    return tokens if tokens < MIN_TOKENS else min(MIN_MATCH, -(-tokens * 4 // 5))
+
+
 @dataclass
 class Index:
     """Hash index of one block of item pieces."""
@@ -59,6 +70,9 @@ class Index:
     item: np.ndarray    # item id per piece
     length: np.ndarray  # tokens of the whole item, per piece
     words: list         # token hashes per piece
+    flat: np.ndarray    # those of all pieces in a row
+    start: np.ndarray   # where a piece begins there (one more at the end)
+    needed: np.ndarray  # equal tokens that make a leak, per piece
     bits: int           # a window's top bits look up ``seen`` before ``keys``
     seen: list          # per mask: which top bits occur
     keys: list          # per mask: sorted distinct window hashes
@@ -70,15 +84,18 @@ class Index:
 def build_index(item: list, length: list, words: list[np.ndarray]) -> Index:
     total = sum(len(w) for w in words)
     bits = int(np.clip(np.ceil(np.log2(64 * max(total, 1))), 16, 26))
-    out = Index(np.array(item, np.int64), np.array(length, np.int64), words, bits, [], [], [], [], [])
+    out = Index(np.array(item, np.int64), np.array(length, np.int64), words,
+                np.concatenate([np.zeros(0, np.uint64), *words]),
+                np.cumsum([0, *map(len, words)], dtype=np.int64),
+                np.array([needed(n) for n in length], np.int64), bits, [], [], [], [], [])
     for mask in range(len(MASKS)):
-        hashes = [mask_hashes(w, mask) for w in words]
+        hashes = [mask_hashes(w if mask_serves(mask, n) else w[:0], mask) for w, n in zip(words, length)]
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         piece = np.repeat(np.arange(len(words)), [len(x) for x in hashes])
         at = np.concatenate([np.arange(len(x)) for x in hashes]) if hashes else np.zeros(0, int)
         order = np.argsort(h, kind="stable")
         keys, first = np.unique(h[order], return_index=True)
-        seen = np.zeros(1 << bits, bool)
+        seen = np.zeros(1 << bits if len(keys) else 0, bool)
         seen[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
         out.seen.append(seen)
         out.keys.append(keys)
@@ -88,41 +105,59 @@ def build_index(item: list, length: list, words: list[np.ndarray]) -> Index:
     return out
 
 
-def _extend(good: np.ndarray) -> int:
-    """How many positions to go on so that matches minus penalties are largest."""
-    if not len(good):
-        return 0
-    score = np.cumsum(np.where(good, 1, -MISMATCH))
-    best = int(score.argmax())
-    return best + 1 if score[best] > 0 else 0
-
-
-def _verify(doc: np.ndarray, item: np.ndarray, shift: int, hits: list[tuple[int, int]]):
-    """Best verified overlap of the item laid at ``shift``: (matched, length, doc position)."""
+def _verify(doc: np.ndarray, item: np.ndarray, shift: int):
+    """The overlap at ``IDENTITY`` of most equal tokens of the item laid at ``shift``:
+    (matched, length, doc position)."""
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
     good = doc[lo + shift:hi + shift] == item[lo:hi]
-    best, done = (0, 0, 0), -1
-    for q, span in hits:  # ascending positions in the item
-        if q + span <= done:
-            continue
-        a, b = q - lo, q + span - lo
-        b += _extend(good[b:])
-        a -= _extend(good[:a][::-1])
-        matched = int(good[a:b].sum())
-        done = b + lo
-        if matched >= IDENTITY * (b - a) and matched > best[0]:
-            best = (matched, b - a, a + lo + shift)
-    return best
+    # 5 * matched >= 4 * length means that matches less 4 per mismatch are not negative.
+    score = np.concatenate([[0], np.cumsum(np.where(good, 1, -4))])
+    count = np.concatenate([[0], np.cumsum(good)])
+    first = np.searchsorted(-np.minimum.accumulate(score), -score)  # leftmost start for each end
+    end = int((count - count[first]).argmax())
+    inside = first[end] + np.flatnonzero(good[first[end]:end])
+    if not len(inside):
+        return 0, 0, 0
+    return len(inside), int(inside[-1] - inside[0]) + 1, int(inside[0]) + lo + shift
+
+
+def _ragged(n: np.ndarray) -> np.ndarray:
+    """0 .. n[k] - 1 for every k in a row."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _chunks(n: np.ndarray) -> list[np.ndarray]:
+    """Places of ``n`` in parts whose sums are about ``ENTRIES`` at most."""
+    return np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // ENTRIES)) + 1) if len(n) else []
+
+
+def _hopeful(index: Index, words: np.ndarray, at: np.ndarray, laid: np.ndarray) -> np.ndarray:
+    """Those of ``laid`` (row, piece, shift) with enough equal tokens over the whole item."""
+    laid = np.unique(laid, axis=1)
+    row, piece, shift = laid
+    lo = np.maximum(0, -shift)
+    n = np.minimum(np.diff(index.start)[piece], at[row + 1] - at[row] - shift) - lo
+    keep = np.zeros(len(n), bool)
+    for k in _chunks(n):
+        r = _ragged(n[k])
+        in_item = np.repeat(index.start[piece[k]] + lo[k], n[k]) + r
+        in_text = np.repeat(at[row[k]] + shift[k] + lo[k], n[k]) + r
+        equal = np.add.reduceat((index.flat[in_item] == words[in_text]).astype(np.int64), np.cumsum(n[k]) - n[k])
+        keep[k] = equal >= index.needed[piece[k]]
+    return laid[:, keep]
 
 
 def find_overlaps(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple]:
     """(row, item, matched, overlap, position, item tokens) of the rows whose words are
     ``words[at[row]:at[row + 1]]``; one per row and piece, best overlap."""
-    found = []
+    at = np.asarray(at, np.int64)
+    found = [np.zeros((3, 0), np.int64)]
     for mask in range(len(MASKS)):
+        if not len(index.keys[mask]):
+            continue
         h = mask_hashes(words, mask)
         i = np.flatnonzero(index.seen[mask][(h >> np.uint64(64 - index.bits)).astype(np.int64)])
-        if not len(i) or not len(index.keys[mask]):
+        if not len(i):
             continue
         k = np.searchsorted(index.keys[mask], h[i])
         k[k == len(index.keys[mask])] = 0
@@ -132,24 +167,15 @@ def find_overlaps(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple
         inside = i + len(MASKS[mask]) <= at[row + 1]
         i, k, row = i[inside], k[inside], row[inside]
         n = index.first[mask][k + 1] - index.first[mask][k]
-        entry = np.repeat(index.first[mask][k] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        piece, q = index.piece[mask][entry], index.at[mask][entry]
-        row, i = np.repeat(row, n), np.repeat(i, n)
-        found.append(np.stack([row, piece, i - at[row] - q, q, np.full(len(q), len(MASKS[mask]))]))
-    if not found:
-        return []
-    hits = np.concatenate(found, axis=1)
-    if not hits.shape[1]:
-        return []
-    hits = hits[:, np.lexsort(hits[::-1])]
-    cuts = np.flatnonzero(np.any(np.diff(hits[:3], axis=1) != 0, axis=0)) + 1
+        for c in _chunks(n):
+            entry = np.repeat(index.first[mask][k[c]], n[c]) + _ragged(n[c])
+            piece, q = index.piece[mask][entry].astype(np.int64), index.at[mask][entry]
+            found.append(_hopeful(index, words, at, np.stack([
+                np.repeat(row[c], n[c]), piece, np.repeat(i[c] - at[row[c]], n[c]) - q])))
     best: dict[tuple[int, int], tuple] = {}
-    for group in np.split(np.arange(hits.shape[1]), cuts):
-        row, piece, shift = (int(x) for x in hits[:3, group[0]])
-        item = index.words[piece]
-        got = _verify(words[at[row]:at[row + 1]], item, shift,
-                      list(zip(hits[3, group].tolist(), hits[4, group].tolist())))
-        if got[0] >= min(MIN_MATCH, int(index.length[piece])) and got[0] > best.get((row, piece), (0,))[0]:
+    for row, piece, shift in np.unique(np.concatenate(found, axis=1), axis=1).T.tolist():
+        got = _verify(words[at[row]:at[row + 1]], index.words[piece], shift)
+        if got[0] >= index.needed[piece] and got[0] > best.get((row, piece), (0,))[0]:
             best[row, piece] = got
     return [(row, int(index.item[piece]), *got, int(index.length[piece]))
             for (row, piece), got in sorted(best.items())]
@@ -181,7 +207,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for i, item in enumerate(batch.column(0).to_pylist()):
             w = words[at[i]:at[i + 1]].view(np.int64)
-            if len(w) >= MIN_TOKENS:
+            if len(w):
                 for p, a in enumerate(range(0, max(1, len(w) - PIECE_OVERLAP), PIECE)):
                     rows.append((item, p, len(w), w[a:a + PIECE + PIECE_OVERLAP]))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]

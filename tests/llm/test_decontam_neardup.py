@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import pyarrow.parquet as pq
 from llm_cases import DOCS, docs, no_docs, ordered
@@ -44,6 +45,43 @@ def test_planted_passages_with_replaced_words(spark):
     assert not {d for d, _ in got} & clean
 
 
+def test_every_substitution_up_to_the_identity():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    hashes = lambda n: rng.integers(1, 1 << 63, n, dtype=np.uint64)
+    for n, others in [(8, 1), (9, 1), (10, 2), (11, 2), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3), (19, 3), (20, 4)]:
+        item, before = hashes(n), hashes(9)
+        index = decontam.build_index([5], [n], [item])
+        texts = []
+        for places in combinations(range(n), others):
+            text = item.copy()
+            text[list(places)] = hashes(others)
+            texts.append(np.concatenate([before, text, hashes(5)]))
+        at = np.cumsum([0, *map(len, texts)])
+        got = decontam.find_overlaps(index, np.concatenate(texts), at)
+        assert [g[:3] for g in got] == [(k, 5, n - others) for k in range(len(texts))], (n, others)
+    for n in (60, 200):  # random ones in long items, and one too many everywhere
+        item = hashes(n)
+        index = decontam.build_index([5], [n], [item])
+        for _ in range(200):
+            text = item.copy()
+            text[rng.choice(n, n // 5, replace=False)] = hashes(n // 5)
+            assert decontam.find_overlaps(index, text, np.array([0, n]))[0][2] >= n * 4 // 5
+        text = item.copy()
+        text[2::3] = hashes(len(text[2::3]))
+        assert not decontam.find_overlaps(index, text, np.array([0, n]))
+
+
+def test_items_of_few_tokens_match_whole(spark):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n)), 0) for n in range(1, 8)]
+    data = [(n, f"before {t.upper()}, after", None) for n, t, _ in items]
+    data += [(100 + n, "before " + t.rsplit(" ", 1)[0] + " after", None) for n, t, _ in items if n > 1]
+    got = decontam.leaks(spark.createDataFrame(data, "doc_id long, text string, item_id string"),
+                         spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched, r.overlap, r.position) for r in got) == [
+        (n, n, n, n, 1) for n in range(1, 8)]
+
+
 def test_blocks_change_nothing(spark, monkeypatch):
     d, b = table(spark, SF, "documents").limit(300), table(spark, SF, "benchmark")
     whole = ordered(map(tuple, decontam.leaks(d, b).collect()))
