@@ -13,7 +13,8 @@ With 40 bands of 4 bins a pair at similarity 0.75 shares no bucket with probabil
 one of the two is a centre; other pairs matter only where their bucket still holds more
 than one group afterwards. The documents of such buckets are dealt anew by their rarest
 shingles (linked documents must share one), and stars around further centres are drawn
-there until a turn finds no further link (see README for the recall against all pairs).
+there until a turn finds no further link. Then every document that stands early in a
+bucket still open is a centre once, so all pairs that share a band bucket are decided.
 
 Defined results for odd input: null or blank text has no shingles, links with nothing and
 is its own component; rows with a null id link with nothing (component null, kept); rows
@@ -38,6 +39,7 @@ THRESHOLD = (75, 100)  # link when 100 * intersection >= 75 * union
 BINS, ROWS = 160, 4    # 40 bands of 4 bins
 PROBES = 64
 DRAWS = 4              # a further turn draws twice as many centres per bucket
+SWEEP_PAIRS = 4_000_000  # pairs that one part of the last sweep may meet (about)
 
 _probe = np.random.Generator(np.random.PCG64(7)).integers(0, BINS, (PROBES, BINS))
 
@@ -151,10 +153,7 @@ def finer_buckets(labels: DataFrame, sets: DataFrame) -> DataFrame:
 def turned_candidates(rows: DataFrame, turn: int) -> DataFrame:
     """Stars around ``2 * DRAWS`` centres per bucket, drawn by hashes of (label, bucket,
     turn): a lone document is as likely a centre as one of a large group. Gives the pairs
-    (a, b) of different labels that can be links: what two documents can share from their
-    first common shingle on is bounded by what either has from there. By the same bound
-    the smaller document has that shingle early, so centres are drawn from early rows."""
-    num, den = THRESHOLD
+    (a, b) of different labels that can be links (:func:`met`)."""
 
     def drawn(k: int) -> Column:
         seed = F.lit(turn * DRAWS + k)
@@ -164,11 +163,39 @@ def turned_candidates(rows: DataFrame, turn: int) -> DataFrame:
     def centre(c: Column) -> Column:
         return F.struct(*[c[f].alias(f) for f in ("doc_id", "label", "n", "at")])
 
-    early = rows.filter((num + den) * (F.col("n") - F.col("at")) >= 2 * num * F.col("n"))
-    stars = early.groupBy("key").agg(F.array_distinct(F.array(
+    stars = early(rows).groupBy("key").agg(F.array_distinct(F.array(
         *[centre(f(drawn(k))) for k in range(DRAWS) for f in (F.min, F.max)])).alias("centres"))
-    pairs = (rows.join(stars, "key").select("doc_id", "label", "n", "at", F.explode("centres").alias("centre"))
-             .filter("label <> centre.label")
+    return met(rows.join(stars, "key").select("doc_id", "label", "n", "at", F.explode("centres").alias("centre")))
+
+
+def early(rows: DataFrame) -> DataFrame:
+    """The rows whose document can be the smaller one of a link with this first common
+    shingle, by the bound of :func:`met`; only these need to be centres."""
+    num, den = THRESHOLD
+    return rows.filter((num + den) * (F.col("n") - F.col("at")) >= 2 * num * F.col("n"))
+
+
+def sweep_parts(rows: DataFrame) -> int:
+    """Parts of a sweep over ``rows``, for about ``SWEEP_PAIRS`` pairs each."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    pairs = early(rows).groupBy("key").agg(F.count(F.lit(1)).alias("centres")).join(sizes, "key")
+    total = pairs.agg(F.sum(F.col("members").cast("double") * F.col("centres"))).first()[0] or 0
+    return max(1, -(-int(total) // SWEEP_PAIRS))
+
+
+def swept_candidates(rows: DataFrame, part: int, parts: int) -> DataFrame:
+    """Stars around every early document of one part of all, by the documents' hashes."""
+    stars = early(rows).filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == part)
+    stars = stars.select("key", F.struct("doc_id", "label", "n", "at").alias("centre"))
+    return met(rows.join(stars, "key"))
+
+
+def met(starred: DataFrame) -> DataFrame:
+    """The pairs (a, b) of a row and its centre, of different labels, that can be links:
+    what two documents can share from their first common shingle on is bounded by what
+    either has from there. By the same bound the smaller one has that shingle early."""
+    num, den = THRESHOLD
+    pairs = (starred.filter("label <> centre.label")
              .filter((num + den) * F.least(F.col("n") - F.col("at"), F.col("centre.n") - F.col("centre.at"))
                      >= num * (F.col("n") + F.col("centre.n")))
              .select(F.least("doc_id", "centre.doc_id").alias("a"),
@@ -183,7 +210,8 @@ def linked_groups(reps: DataFrame, members: DataFrame, docs: DataFrame, sizes: D
     The buckets' stars and the edges ``shared`` give first groups. Documents of buckets
     with more than three members that then still hold several groups are dealt anew by
     their rarest shingles, and stars around other centres are drawn there until a turn
-    finds no further link.
+    finds no further link. A sweep in parts then takes every early document of the buckets
+    left open as a centre.
     """
     links = staged(confirmed(star_candidates(members), docs, sizes, id_col, text_col), "neardup-links")
     first = staged(components(links.unionByName(shared)), "neardup-groups")
@@ -196,14 +224,19 @@ def linked_groups(reps: DataFrame, members: DataFrame, docs: DataFrame, sizes: D
         return groups
     sets = shingle_sets(docs, labels.select("doc_id"), id_col, text_col)
     rows = staged(left_open(finer_buckets(labels, sets)), "neardup-finer")
-    turn, joined = 0, []
-    while not rows.isEmpty():
-        turn += 1
-        more = verified(staged(turned_candidates(rows, turn), "neardup-pairs"), sets)
+    turn, part, parts, joined = 0, 0, 0, []  # parts: 0 until the sweep begins
+    while not rows.isEmpty() and (not parts or part < parts):
+        if parts:
+            pairs, part = swept_candidates(rows, part, parts), part + 1
+        else:
+            turn += 1
+            pairs = turned_candidates(rows, turn)
+        more = verified(staged(pairs, "neardup-pairs"), sets)
         edges = staged(more.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
                        .select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "neardup-joined")
         if edges.isEmpty():
-            break
+            parts = parts or sweep_parts(rows)
+            continue
         joined.append(edges)
         merged = staged(components(edges), "neardup-merged")
         rows = (rows.join(merged, F.col("label") == F.col("node"), "left")

@@ -195,6 +195,33 @@ def test_links_between_documents_that_are_no_centre(spark):
     assert got == expected
 
 
+def test_large_open_buckets_are_swept_whole(spark, monkeypatch):
+    rng = random.Random(31)
+    base, texts = words(rng, 150), {}
+    for g in range(40):  # every shingle is in about half of the documents
+        code = [rng.randrange(2) for _ in range(30)]
+        for k in range(2):
+            for p in rng.sample(range(30), 3 * k):
+                code[p] = 1 - code[p]
+            texts[2 * g + k] = " ".join(f"{w}{code[p // 5]}" if p % 5 == 2 else w for p, w in enumerate(base))
+    expected = plain_groups(texts)
+    assert len({c for _, c in expected.values()}) == 40
+    data = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sizes = neardup.sketches(data).select("doc_id", F.col("n_shingles").alias("n"))
+    members = sizes.select(F.lit(1).alias("key"), "doc_id", F.lit(80).alias("members"))
+    none = sizes.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    # As if neither the first stars nor any draw had met a linked pair.
+    monkeypatch.setattr(neardup, "star_candidates", lambda members: none)
+    monkeypatch.setattr(neardup, "turned_candidates", lambda rows, turn: none)
+    parts = []
+    swept = neardup.swept_candidates
+    monkeypatch.setattr(neardup, "swept_candidates", lambda rows, part, n: parts.append(n) or swept(rows, part, n))
+    monkeypatch.setattr(neardup, "SWEEP_PAIRS", 20_000)
+    found = neardup.linked_groups(sizes.select(F.col("doc_id").alias("node")), members, data, sizes, none).collect()
+    assert dict(map(tuple, found)) == {i: c for i, (_, c) in expected.items()}
+    assert parts and parts[0] > 1
+
+
 def test_signature_similarity_is_unbiased():
     import numpy as np
     rng = np.random.default_rng(3)
