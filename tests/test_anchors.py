@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from support import SF_CHECK
 from tarmac.plans import registry
 
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tarmac.plans import jobs, registry
 from tarmac.schema import DEPARTURES_TABLE, FLIGHTS_TABLE
 from tarmac.sources.files import (

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tarmac.operators.derive import airport_departures, flights_airtime
 from tarmac.operators.keyed import (
     dedupe_keys, dedupe_keys_measured, delete_where, rekey, update_where, upsert,

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_CHECK
+from support import SF_CHECK
 from oracle_check import compare, duck
 from tarmac.plans.oracle import ORACLE
 from tarmac.plans.registry import QUERIES

@@ -1,6 +1,6 @@
 """Physical-plan checks: the plans we want at scale, not only the right rows."""
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tarmac.operators.keyed import dedupe_keys, upsert
 from tarmac.plans import insights, jobs, registry
 from tarmac.schema import DEPARTURES_TABLE, FLIGHTS_TABLE

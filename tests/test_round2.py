@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tarmac.operators import enrich
 from tarmac.operators.joins import fits_broadcast
 from tarmac.operators.keyed import rekey, upsert

@@ -3,7 +3,7 @@ exactly-once (already-seen files are not read again, new files are)."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tarmac.operators.enrich import enrich_flights
 from tarmac.schema import ENRICHED_TABLE
 from tarmac.sources.files import write_flights_csv
