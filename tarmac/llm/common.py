@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -86,6 +87,34 @@ def running_sum(df: DataFrame, group: list[str], chunk: str, order: list[str],
             .withColumn(out, F.col("_base") + F.col("_inside")).drop("_base", "_inside"))
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str], at: str = "at", size: str = "size",
+           keep: list[str] | None = None) -> DataFrame:
+    """Adds ``at``, a row's place (from 0) in its group along ``order`` (nulls first), and
+    ``size``, the group's rows. Rows equal in all of ``order`` are told apart by their
+    place in the input, which should be a stored table. ``keep``: the columns to return
+    (all; those of ``group`` must be among them).
+
+    A group may hold any share of the rows, so no window spans one: all rows are dealt by
+    ranges of (group, order), numbered inside their range, and moved by the rows that
+    earlier ranges have of the group. Windows only see one row per range and group.
+    """
+    keys = [*group, *order, "_row"]
+    dealt = (df.withColumn("_row", F.monotonically_increasing_id())
+             .repartitionByRange(*keys).sortWithinPartitions(*keys))
+    keep = keep or df.columns
+    dealt = staged(dealt.select(*keep, F.spark_partition_id().alias("_part"),
+                                F.monotonically_increasing_id().alias("_mid")), "ranked")
+    runs = dealt.groupBy(*group, "_part").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    whole = Window.partitionBy(*[F.col(g) for g in group] or [F.lit(0)])
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_part").alias("_run"),
+                       (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+                       F.sum("_rows").over(whole).alias(size))
+    same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group],
+                  F.col("_part") == F.col("_run"))
+    return dealt.join(runs, same).select(*keep, (F.col("_mid") + F.col("_shift")).alias(at), size)
+
+
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """Connected components of an undirected graph: (node, component), the component
     being its smallest node; only nodes of ``edges`` appear. Null ends are ignored.

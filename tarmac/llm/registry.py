@@ -3,11 +3,15 @@
 op3 (spaced seeds), op5 (archives), op6 (similarity on 5-word sets: SQL over all pairs of
 a whole table is too slow), op7 (components), op8, op9 and op10 (trained models) have no
 SQL; tests/llm holds them against brute-force versions, round trips and held-out labels.
+op11 (a join on prefixes of spelled-out keys), op12 (all pairs with a common shingle) and
+op13 (recursive levels and folds) have SQL that suits small tables.
 """
 
 from __future__ import annotations
 
-from tarmac.llm import decontam, html, langid, license, mixing, neardup, pii, quality, urlfilter, warc
+from tarmac.llm import (
+    decontam, html, langid, license, merkle, mixing, neardup, ngramjoin, pii, quality, trie, urlfilter, warc,
+)
 
 QUERIES = {
     "op1_host_quality": quality.query,
@@ -20,10 +24,16 @@ QUERIES = {
     "op8_main_text": html.query,
     "op9_language": langid.query,
     "op10_personal_data": pii.query,
+    "op11_prefix_trie": trie.query,
+    "op12_ngram_join": ngramjoin.query,
+    "op13_merkle_manifest": merkle.query,
 }
 
 ORACLE = {
     "op1_host_quality": quality.ORACLE,
     "op2_license_scan": license.ORACLE,
     "op4_source_mixing": mixing.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
+    "op12_ngram_join": ngramjoin.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
