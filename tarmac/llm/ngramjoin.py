@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_batches, components, keep_ids, ranked, staged, table
+from tarmac.llm.common import BROADCAST_IDS, bounded_batches, components, keep_ids, ranked, staged, table
 from tarmac.llm.tokens import mix, row_slices, shingles, word_hashes
 
 WIDTH = 3
@@ -79,14 +79,6 @@ def slice_keys(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
-    for batch in batches:
-        for lo, hi in row_slices(batch.column(1)):
-            part = batch.slice(lo, hi - lo)
-            words, at = word_hashes(part.column(1), lower=True)
-            yield part.column(0), [shingles(words[at[i]:at[i + 1]], WIDTH) for i in range(len(part))]
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
@@ -104,16 +96,14 @@ SKETCH = ["doc_id", "n_shingles", "print_a", "print_b", "keys"]
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, sets in _sets(batches):
-        n = pa.array([len(s) for s in sets], pa.int64())
-        keys = _lists([slice_keys(s) if len(s) else s for s in sets])
-        yield pa.RecordBatch.from_arrays([ids, n, *_prints(sets), keys], names=SKETCH)
-
-
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, sets in _sets(batches):
-        n = pa.array([len(s) for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, n, *_prints(sets), _lists(sets)], names=[*SKETCH[:4], "shingles"])
+    for batch in batches:
+        for lo, hi in row_slices(batch.column(1)):
+            part = batch.slice(lo, hi - lo)
+            words, at = word_hashes(part.column(1), lower=True)
+            sets = [shingles(words[at[i]:at[i + 1]], WIDTH) for i in range(len(part))]
+            n = pa.array([len(s) for s in sets], pa.int64())
+            keys = _lists([slice_keys(s) if len(s) else s for s in sets])
+            yield pa.RecordBatch.from_arrays([part.column(0), n, *_prints(sets), keys], names=SKETCH)
 
 
 ROW = "doc_id long, n_shingles long, print_a long, print_b long"
@@ -211,17 +201,14 @@ def spanning_links(sets: list[np.ndarray], split: int | None = None) -> list[tup
 
 
 def _tile_links(pack: pa.Table) -> pa.Table:
-    """The spanning links of every tile of a pack (tile, side, doc_id, shingles)."""
-    pack = pack.select(["tile", "side", "doc_id", "shingles"]).combine_chunks().sort_by([("tile", "ascending"), ("side", "ascending")])
+    """The spanning links of every tile of a pack (tile, side, doc_id, text)."""
+    pack = pack.sort_by([("tile", "ascending"), ("side", "ascending")])
     tile, side, ids = (pack[c].to_numpy() for c in ("tile", "side", "doc_id"))
-    column = pack["shingles"].combine_chunks()
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    ends = column.offsets.to_numpy()
-    flat = column.values.to_numpy().view(np.uint64)
     cuts = np.flatnonzero(np.diff(tile, prepend=tile[0] - 1, append=tile[-1] - 1))
     a, b = [], []
     for lo, hi in zip(cuts[:-1], cuts[1:]):
-        sets = [flat[ends[r]:ends[r + 1]] for r in range(lo, hi)]
+        words, at = word_hashes(pack["text"].slice(lo, hi - lo), lower=True)
+        sets = [shingles(words[at[r]:at[r + 1]], WIDTH) for r in range(hi - lo)]
         split = int(np.searchsorted(side[lo:hi], 1))
         for i, j in spanning_links(sets, split if split < hi - lo else None):
             a.append(ids[lo + i])
@@ -230,20 +217,24 @@ def _tile_links(pack: pa.Table) -> pa.Table:
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) that join all documents which links join; ``sets``: one row or
-    more (doc_id, n_shingles, keys) per set, ``docs``: (doc_id, text)."""
+    """Verified links (a, b) that join all documents which links join; ``sets``: rows as
+    :data:`SKETCH`, ``docs``: (doc_id, text). The tiles get texts, which are smaller than
+    sets, and hash them again."""
     known = clusters(sets)
-    texts = keep_ids(docs, F.col("doc_id"), known.select(F.col("doc_id").alias("_wanted")), "_wanted")
-    full = texts.mapInArrow(_numbered, ROW + ", shingles array<long>").filter("n_shingles > 0")
-    full = staged(full.dropDuplicates(SKETCH[:4]), "join-sets")
-    placed = blocks(full.select(*SKETCH[:4]).join(known, "doc_id"))
-    placed = staged(placed, "join-blocked")
-    spread = placed.join(tiles(placed), ["cluster", "band", "block"]).select(*SKETCH[:4], "tile", "side")
-    spread = staged(spread, "join-tiles")
-    load = spread.agg(F.sum("n_shingles")).first()[0] or 0
-    packs = max(1, -(-load // (2 * BLOCK)))
-    dealt = (spread.join(full, SKETCH[:4]).select("tile", "side", "doc_id", "shingles")
-             .withColumn("pack", F.pmod(F.xxhash64("tile"), F.lit(packs))))
+    near = staged(sets.select(*SKETCH[:4]).join(known, "doc_id"), "join-near")
+    distinct = staged(near.distinct(), "join-distinct")
+    placed = staged(blocks(distinct), "join-blocked")
+    spread = placed.join(tiles(placed), ["cluster", "band", "block"])
+    spread = staged(spread.select(F.col("doc_id").alias("_id"), "n_shingles", "tile", "side"), "join-tiles")
+    load = spread.agg(F.sum("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    packs = max(1, -(-(load["n"] or 0) // (2 * BLOCK)))
+    to = spread.select("_id", "tile", "side", F.pmod(F.xxhash64("tile"), F.lit(packs)).alias("pack")).distinct()
+    texts = docs.filter("text is not null")
+    if near.count() > distinct.count():  # repeated rows
+        texts = keep_ids(texts, F.col("doc_id"), known.select(F.col("doc_id").alias("_wanted")), "_wanted")
+        texts = texts.dropDuplicates()
+    dealt = texts.join(F.broadcast(to) if load["rows"] <= BROADCAST_IDS else to, F.col("doc_id") == F.col("_id"))
+    dealt = dealt.select("pack", "tile", "side", "doc_id", "text")
     return staged(dealt.groupBy("pack").applyInArrow(_tile_links, "a long, b long"), "join-links")
 
 
