@@ -2,12 +2,15 @@
 
 Sets are put into size bands (``BAND`` wide); two linked sets lie in one band or in
 neighbouring ones. Candidates are found without loss: sets of a band that are linked
-differ in at most D shingles, so of D + 1 slices of the hash range they agree on one.
-Sets that agree on a slice meet in a bucket; a bucket gives star edges only, and the
-connected buckets form clusters. No link leaves a cluster.
-
-A cluster is cut into blocks by size band and size, each of about ``BLOCK`` shingles, and
-every pair of blocks whose sizes allow a link is a tile. In a tile each set has a parity
+differ in at most D shingles, so of D + 1 + q slices of the hash range they agree on more
+than q. Slices with very few shingles say little and are left out where a set has no more
+than q of them; an agreed slice is then left over. Sets that agree on a slice meet in a
+bucket; a bucket gives star edges only, and the connected buckets form clusters. No link
+leaves a cluster.
+
+A large cluster is cut into blocks by size band and size, each of about ``BLOCK``
+shingles, and every pair of blocks whose sizes allow a link is a tile; a small cluster is
+one tile. In a tile each set has a parity
 bitmap (a bit per hash cell, flipped by every shingle in it): the bits in which two
 bitmaps differ are no more than the shingles in which the sets differ, so their count
 bounds the overlap from above. Pairs that the bound leaves, and that the links found in
@@ -42,6 +45,7 @@ BAND = 1.5             # a size band ends at this multiple of its start
 BLOCK = 1 << 20        # shingles of a block (8 MB), and
 BLOCK_ROWS = 2048      # at most so many sets
 MIN_BITS = 256
+SPARE, WEAK = 0.25, 2  # q is this share of D + 1; a slice of so few shingles may be left out
 
 _starts = [1]
 while _starts[-1] < 1 << 40:
@@ -53,11 +57,24 @@ def band_of(n: int) -> int:
     return int(np.searchsorted(STARTS, n, "right")) - 1
 
 
-def slices(band: int) -> int:
-    """One more than the shingles in which two linked sets can differ, neither larger than
-    the band's largest: |A| + |B| - 2 * overlap <= (|A| + |B|) * (1 - t) / (1 + t)."""
+def slices(band: int) -> tuple[int, int]:
+    """(number of slices, spare ones among them). One more than the shingles in which two
+    linked sets can differ, neither larger than the band's largest, as
+    |A| + |B| - 2 * overlap <= (|A| + |B|) * (1 - t) / (1 + t); and the spare ones."""
     num, den = THRESHOLD
-    return 2 * int(STARTS[band + 1] - 1) * (den - num) // (den + num) + 1
+    least = 2 * int(STARTS[band + 1] - 1) * (den - num) // (den + num) + 1
+    spare = int(np.ceil(SPARE * least)) if least > 1 else 0
+    return least + spare, spare
+
+
+def strong(counts: np.ndarray, spare: int) -> np.ndarray:
+    """The slices to use of a set with these counts: those above the largest bound, up to
+    ``WEAK``, that at most ``spare`` slices don't exceed. Of two linked sets the one with
+    the higher bound has an agreed slice above it, and so has the other."""
+    for bound in range(WEAK, -1, -1):
+        if (counts <= bound).sum() <= spare:
+            return counts > bound
+    return np.ones(len(counts), bool)
 
 
 def slice_keys(hashes: np.ndarray) -> np.ndarray:
@@ -69,13 +86,14 @@ def slice_keys(hashes: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5)), dtype=np.uint64)])
         for band in (own, own + 1):
-            k = slices(band)
+            k, spare = slices(band)
             if k == 1 or band > own and den * len(hashes) < num * int(STARTS[band]):
                 continue
             edges = -(-(np.arange(1, k, dtype=np.int64) << 32) // k)  # rounded up
             cuts = np.concatenate([[0], np.searchsorted(hashes >> np.uint64(32), edges.astype(np.uint64)), [len(hashes)]])
             part = sums[cuts[1:]] - sums[cuts[:-1]]
-            out.append(mix(part + mix(np.arange(k, dtype=np.uint64) + np.uint64((band + 1) << 40))))
+            keys = mix(part + mix(np.arange(k, dtype=np.uint64) + np.uint64((band + 1) << 40)))
+            out.append(keys[strong(np.diff(cuts), spare)])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -123,15 +141,19 @@ def clusters(sets: DataFrame) -> DataFrame:
     return staged(found.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "join-clusters")
 
 
-def blocks(placed: DataFrame) -> DataFrame:
-    """Adds ``band`` and ``block`` to (doc_id, n_shingles, cluster, ...)."""
+def blocks(near: DataFrame) -> DataFrame:
+    """Adds ``band`` and ``block`` to (doc_id, n_shingles, cluster, ...); small clusters are
+    one block, of band -1."""
     starts = F.array(*[F.lit(int(s)) for s in STARTS])
     band = F.size(F.filter(starts, lambda s: s <= F.col("n_shingles"))) - 1
-    in_band = ranked(staged(placed.withColumn("band", band), "join-placed"), ["cluster", "band"],
-                     ["n_shingles", "doc_id"], "at", "_size")
-    largest = F.element_at(starts, F.col("band") + 2) - 1
-    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK) / largest)))
-    return in_band.withColumn("block", F.floor(F.col("at") / rows)).drop("at", "_size")
+    whole = near.groupBy("cluster").agg(F.sum("n_shingles").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    small = whole.filter((F.col("_n") <= BLOCK) & (F.col("_rows") <= BLOCK_ROWS)).select("cluster", F.lit(1).alias("_small"))
+    placed = near.join(small, "cluster", "left").withColumn("band", F.when(F.col("_small") == 1, -1).otherwise(band))
+    placed = staged(placed.drop("_small"), "join-placed")
+    lone = placed.filter("band < 0").withColumn("block", F.lit(0).cast("long"))
+    large = ranked(placed.filter("band >= 0"), ["cluster", "band"], ["n_shingles", "doc_id"], "at", "_size")
+    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK / (F.element_at(starts, F.col("band") + 2) - 1))))
+    return lone.unionByName(large.withColumn("block", F.floor(F.col("at") / rows)).drop("at", "_size"))
 
 
 def tiles(placed: DataFrame) -> DataFrame:
