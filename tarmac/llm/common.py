@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.session import scratch_path, shared_dir
+from tarmac.session import scratch_path
 
 # Words are maximal runs of anything but ASCII white space (Java and RE2 syntax).
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -36,12 +36,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint in the shared folder (registered when unset)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` plus columns that are computed once per row: as generated columns they are
     not copied into every expression that reads them."""
@@ -122,13 +116,13 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     Alternates the large-star and small-star steps until the edge set stops changing
     (a logarithmic number of rounds, also on long chains). A hub's edges are never
     gathered: each step is a map-side combined minimum per node and a join, whose hot
-    keys the adaptive planner may split. Every round is checkpointed.
+    keys the adaptive planner may split. Every round is stored.
     """
     e = (edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
          .filter("a is not null and b is not null"))
     nodes = e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
     e = e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = checkpointed(e)
+    e = staged(e, "components")
     seen = None
     while True:
         state = e.agg(F.count(F.lit(1)).alias("n"),
@@ -144,7 +138,7 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
         small = large.join(low, "a")
         small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-        e = checkpointed(small)
+        e = staged(small, "components")
     roots = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
     return (nodes.join(roots, "node", "left")
             .select("node", F.coalesce("m", "node").alias("component")))

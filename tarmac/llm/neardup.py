@@ -11,10 +11,8 @@ not with their pairs. Candidates are confirmed on the full shingle sets.
 With 40 bands of 4 bins a pair at similarity 0.75 shares no bucket with probability
 (1 - 0.75**4) ** 40 = 2.5e-7. A pair that does share buckets is compared directly where
 one of the two is a centre; other pairs matter only where their bucket still holds more
-than one group afterwards. The documents of such buckets are dealt anew by their rarest
-shingles (linked documents must share one), and stars around further centres are drawn
-there until a turn finds no further link. Then every document that stands early in a
-bucket still open is a centre once, so all pairs that share a band bucket are decided.
+than one group afterwards. Those are compared in size-banded tiles, first by bitmaps, then
+on the full sets (:mod:`tarmac.llm.tiles`), so all pairs that share a band bucket are decided.
 
 Defined results for odd input: null or blank text has no shingles, links with nothing and
 is its own component; rows with a null id link with nothing (component null, kept); rows
@@ -24,22 +22,20 @@ that repeat an id are one node; ties go to the smallest id; an empty table gives
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import bounded_batches, components, keep_ids, staged, table
+from tarmac.llm.tiles import exact, met, parity_bitmap, probable
 from tarmac.llm.tokens import mix, row_slices, shingles, word_hashes
 
 WIDTH = 5             # words per shingle
 THRESHOLD = (75, 100)  # link when 100 * intersection >= 75 * union
 BINS, ROWS = 160, 4    # 40 bands of 4 bins
 PROBES = 64
-DRAWS = 4              # a further turn draws twice as many centres per bucket
-SWEEP_PAIRS = 4_000_000  # pairs that one part of the last sweep may meet (about)
 
 _probe = np.random.Generator(np.random.PCG64(7)).integers(0, BINS, (PROBES, BINS))
 
@@ -135,83 +131,26 @@ def left_open(rows: DataFrame) -> DataFrame:
     return rows.join(several, "key", "left_semi")
 
 
-def finer_buckets(labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, doc_id, label, n, at): a row for each of a document's rarest shingles, as many as
-    any linked document must share one of (n - ceil(threshold * n) + 1), with its rank. Documents that
-    met in a band and are not similar enough seldom meet here again."""
-    num, den = THRESHOLD
-    each = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
-    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
-    rarest = (each.join(often, "key").groupBy("doc_id", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("sorted"))
-              .select("doc_id", "n", F.expr(f"slice(sorted, 1, n - (n * {num} + {den - 1}) div {den} + 1)")
-                      .alias("rarest")))
-    rows = rarest.select("doc_id", "n", F.posexplode("rarest").alias("at", "rare")).filter("rare.often > 1")
-    return rows.join(labels, "doc_id").select(F.col("rare.key").alias("key"), "doc_id", "label", "n", "at")
-
-
-def turned_candidates(rows: DataFrame, turn: int) -> DataFrame:
-    """Stars around ``2 * DRAWS`` centres per bucket, drawn by hashes of (label, bucket,
-    turn): a lone document is as likely a centre as one of a large group. Gives the pairs
-    (a, b) of different labels that can be links (:func:`met`)."""
-
-    def drawn(k: int) -> Column:
-        seed = F.lit(turn * DRAWS + k)
-        return F.struct(F.xxhash64("label", "key", seed).alias("by_label"),
-                        F.xxhash64("doc_id", "key", seed).alias("by_id"), "doc_id", "label", "n", "at")
-
-    def centre(c: Column) -> Column:
-        return F.struct(*[c[f].alias(f) for f in ("doc_id", "label", "n", "at")])
-
-    stars = early(rows).groupBy("key").agg(F.array_distinct(F.array(
-        *[centre(f(drawn(k))) for k in range(DRAWS) for f in (F.min, F.max)])).alias("centres"))
-    return met(rows.join(stars, "key").select("doc_id", "label", "n", "at", F.explode("centres").alias("centre")))
-
-
-def early(rows: DataFrame) -> DataFrame:
-    """The rows whose document can be the smaller one of a link with this first common
-    shingle, by the bound of :func:`met`; only these need to be centres."""
-    num, den = THRESHOLD
-    return rows.filter((num + den) * (F.col("n") - F.col("at")) >= 2 * num * F.col("n"))
-
-
-def sweep_parts(rows: DataFrame) -> int:
-    """Parts of a sweep over ``rows``, for about ``SWEEP_PAIRS`` pairs each."""
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    pairs = early(rows).groupBy("key").agg(F.count(F.lit(1)).alias("centres")).join(sizes, "key")
-    total = pairs.agg(F.sum(F.col("members").cast("double") * F.col("centres"))).first()[0] or 0
-    return max(1, -(-int(total) // SWEEP_PAIRS))
-
-
-def swept_candidates(rows: DataFrame, part: int, parts: int) -> DataFrame:
-    """Stars around every early document of one part of all, by the documents' hashes."""
-    stars = early(rows).filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == part)
-    stars = stars.select("key", F.struct("doc_id", "label", "n", "at").alias("centre"))
-    return met(rows.join(stars, "key"))
-
-
-def met(starred: DataFrame) -> DataFrame:
-    """The pairs (a, b) of a row and its centre, of different labels, that can be links:
-    what two documents can share from their first common shingle on is bounded by what
-    either has from there. By the same bound the smaller one has that shingle early."""
-    num, den = THRESHOLD
-    pairs = (starred.filter("label <> centre.label")
-             .filter((num + den) * F.least(F.col("n") - F.col("at"), F.col("centre.n") - F.col("centre.at"))
-                     >= num * (F.col("n") + F.col("centre.n")))
-             .select(F.least("doc_id", "centre.doc_id").alias("a"),
-                     F.greatest("doc_id", "centre.doc_id").alias("b")))
-    return pairs.distinct()
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _sliced(batches):
+        words, at = word_hashes(batch.column(1), lower=True)
+        sets = [shingles(words[at[i]:at[i + 1]], WIDTH) for i in range(len(batch))]
+        full = [i for i, s in enumerate(sets) if len(s)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(full, pa.int64())), pa.array([len(sets[i]) for i in full], pa.int64()),
+             pa.array([parity_bitmap(sets[i]).tobytes() for i in full], pa.binary())], names=["doc_id", "n", "bits"])
 
 
 def linked_groups(reps: DataFrame, members: DataFrame, docs: DataFrame, sizes: DataFrame, shared: DataFrame,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(node, component) of every document of ``reps`` (column ``node``).
 
-    The buckets' stars and the edges ``shared`` give first groups. Documents of buckets
-    with more than three members that then still hold several groups are dealt anew by
-    their rarest shingles, and stars around other centres are drawn there until a turn
-    finds no further link. A sweep in parts then takes every early document of the buckets
-    left open as a centre.
+    The buckets' stars and the edges ``shared`` give first groups. Buckets with more than
+    three members that then still hold several groups are open: their members of different
+    groups are held against bitmaps, which bound the similarity from above, in tiles of
+    bounded size. The groups that this joins are clusters; no link of an open bucket leaves
+    one, and all pairs of different groups inside are decided on full sets. The number of
+    jobs does not depend on the data.
     """
     links = staged(confirmed(star_candidates(members), docs, sizes, id_col, text_col), "neardup-links")
     first = staged(components(links.unionByName(shared)), "neardup-groups")
@@ -219,38 +158,35 @@ def linked_groups(reps: DataFrame, members: DataFrame, docs: DataFrame, sizes: D
               .select("node", F.coalesce("component", "node").alias("component")))
     rows = members.filter("members > 3").select("key", F.col("doc_id").alias("node"))
     rows = left_open(rows.join(groups, "node").withColumnRenamed("component", "label"))
-    labels = staged(rows.select(F.col("node").alias("doc_id"), "label").distinct(), "neardup-open")
-    if labels.isEmpty():
-        return groups
-    sets = shingle_sets(docs, labels.select("doc_id"), id_col, text_col)
-    rows = staged(left_open(finer_buckets(labels, sets)), "neardup-finer")
-    turn, part, parts, joined = 0, 0, 0, []  # parts: 0 until the sweep begins
-    while not rows.isEmpty() and (not parts or part < parts):
-        if parts:
-            pairs, part = swept_candidates(rows, part, parts), part + 1
-        else:
-            turn += 1
-            pairs = turned_candidates(rows, turn)
-        more = verified(staged(pairs, "neardup-pairs"), sets)
-        edges = staged(more.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
-                       .select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "neardup-joined")
-        if edges.isEmpty():
-            parts = parts or sweep_parts(rows)
-            continue
-        joined.append(edges)
-        merged = staged(components(edges), "neardup-merged")
-        rows = (rows.join(merged, F.col("label") == F.col("node"), "left")
-                .select("key", "doc_id", F.coalesce("component", "label").alias("label"), "n", "at"))
-        rows = staged(left_open(rows), "neardup-finer")
-        labels = staged(labels.join(merged, F.col("label") == F.col("node"), "left")
-                        .select("doc_id", F.coalesce("component", "label").alias("label")), "neardup-open")
-    if not joined:
+    rows = staged(rows.join(sizes.select(F.col("doc_id").alias("node"), F.col("n").alias("n_shingles")), "node")
+                  .select(F.col("key").alias("cluster"), F.col("node").alias("doc_id"), "n_shingles", "label"),
+                  "neardup-open")
+    if rows.isEmpty():
         return groups
-    merged = components(reduce(DataFrame.unionByName, joined)).toDF("component", "whole")
+    open_docs = staged(rows.select("doc_id", "n_shingles", "label").distinct(), "neardup-open")
+    texts = keep_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
+                     F.col("doc_id"), open_docs.select(F.col("doc_id").alias("_wanted")).distinct(), "_wanted")
+    bits = staged(texts.mapInArrow(_bits, "doc_id long, n long, bits binary").distinct(), "neardup-bits")
+    # What the bitmaps allow inside a bucket makes clusters of groups; all links are in them.
+    may = between(met(rows, bits, THRESHOLD, probable(THRESHOLD)), open_docs)
+    whole = staged(components(may).select(F.col("node").alias("label"), F.col("component").alias("cluster")),
+                   "neardup-clusters")
+    near = open_docs.join(whole, "label")
+    more = between(met(near, texts.filter("text is not null").distinct(), THRESHOLD, exact(WIDTH, THRESHOLD)),
+                   open_docs)
+    merged = components(more).toDF("component", "whole")
     return (groups.join(staged(merged, "neardup-merged"), "component", "left")
             .select("node", F.coalesce("whole", "component").alias("component")))
 
 
+def between(links: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The links (a, b) of documents as distinct links of their labels, stored."""
+    label = labelled.select("doc_id", "label").distinct()
+    pairs = links.join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b").filter("la <> lb")
+    return staged(pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(),
+                  "neardup-between")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _sliced(batches):
         words, at = word_hashes(batch.column(1), lower=True)
@@ -336,7 +272,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if repeated.isEmpty():
         return kept
     one = (keep_ids(kept, key, repeated, "_repeated").groupBy(key.alias("_key"))
-           .agg(F.min_by(F.struct(*docs.columns), F.col(text_col)).alias("_row")).select("_row.*"))
+           .agg(F.min_by(F.struct(*docs.columns), F.struct(F.col(text_col).isNull(), text_col)).alias("_row"))
+           .select("_row.*"))
     return keep_ids(kept, key, repeated, "_repeated", "left_anti").unionByName(one)
 
 

@@ -8,15 +8,11 @@ than q of them; an agreed slice is then left over. Sets that agree on a slice me
 bucket; a bucket gives star edges only, and the connected buckets form clusters. No link
 leaves a cluster.
 
-A large cluster is cut into blocks by size band and size, each of about ``BLOCK``
-shingles, and every pair of blocks whose sizes allow a link is a tile; a small cluster is
-one tile. In a tile each set has a parity
-bitmap (a bit per hash cell, flipped by every shingle in it): the bits in which two
-bitmaps differ are no more than the shingles in which the sets differ, so their count
-bounds the overlap from above. Pairs that the bound leaves, and that the links found in
-the tile so far don't join already, are decided by exact intersection of the sorted
-hashes. A tile gives a spanning set of its links, from which components follow; links
-inside a component are not listed one by one.
+Clusters are compared in size-banded tiles (:mod:`tarmac.llm.tiles`): bit counts of parity
+bitmaps bound the overlap of two sets from above, and pairs that the bound leaves, and
+that the links found in the tile so far don't join already, are decided by exact
+intersection of the sorted hashes. A tile gives a spanning set of its links, from which
+components follow; links inside a component are not listed one by one.
 
 Equal sets are one class, named by its smallest id, before anything is compared.
 
@@ -36,27 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import BROADCAST_IDS, bounded_batches, components, keep_ids, ranked, staged, table
+from tarmac.llm.common import bounded_batches, components, keep_ids, staged, table
+from tarmac.llm.tiles import STARTS, band_of, exact, met
 from tarmac.llm.tokens import mix, row_slices, shingles, word_hashes
 
 WIDTH = 3
 THRESHOLD = (90, 100)  # link when 100 * intersection >= 90 * union
-BAND = 1.5             # a size band ends at this multiple of its start
-BLOCK = 1 << 20        # shingles of a block (8 MB), and
-BLOCK_ROWS = 2048      # at most so many sets
-MIN_BITS = 256
 SPARE, WEAK = 0.25, 2  # q is this share of D + 1; a slice of so few shingles may be left out
 
-_starts = [1]
-while _starts[-1] < 1 << 40:
-    _starts.append(int(_starts[-1] * BAND) + 1)
-STARTS = np.array(_starts, np.int64)  # first size of each band
-
-
-def band_of(n: int) -> int:
-    return int(np.searchsorted(STARTS, n, "right")) - 1
-
-
 def slices(band: int) -> tuple[int, int]:
     """(number of slices, spare ones among them). One more than the shingles in which two
     linked sets can differ, neither larger than the band's largest, as
@@ -141,123 +124,18 @@ def clusters(sets: DataFrame) -> DataFrame:
     return staged(found.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "join-clusters")
 
 
-def blocks(near: DataFrame) -> DataFrame:
-    """Adds ``band`` and ``block`` to (doc_id, n_shingles, cluster, ...); small clusters are
-    one block, of band -1."""
-    starts = F.array(*[F.lit(int(s)) for s in STARTS])
-    band = F.size(F.filter(starts, lambda s: s <= F.col("n_shingles"))) - 1
-    whole = near.groupBy("cluster").agg(F.sum("n_shingles").alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    small = whole.filter((F.col("_n") <= BLOCK) & (F.col("_rows") <= BLOCK_ROWS)).select("cluster", F.lit(1).alias("_small"))
-    placed = near.join(small, "cluster", "left").withColumn("band", F.when(F.col("_small") == 1, -1).otherwise(band))
-    placed = staged(placed.drop("_small"), "join-placed")
-    lone = placed.filter("band < 0").withColumn("block", F.lit(0).cast("long"))
-    large = ranked(placed.filter("band >= 0"), ["cluster", "band"], ["n_shingles", "doc_id"], "at", "_size")
-    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK / (F.element_at(starts, F.col("band") + 2) - 1))))
-    return lone.unionByName(large.withColumn("block", F.floor(F.col("at") / rows)).drop("at", "_size"))
-
-
-def tiles(placed: DataFrame) -> DataFrame:
-    """(cluster, band, block, tile, side): the tiles of every block; side 0 is the block with
-    the smaller sets, a tile of one block has side 0 only."""
-    num, den = THRESHOLD
-    each = staged(placed.groupBy("cluster", "band", "block").agg(F.min("n_shingles").alias("least"),
-                                                                 F.max("n_shingles").alias("most")), "join-blocks")
-    x = each.select("cluster", *[F.col(c).alias(f"x_{c}") for c in ("band", "block", "least", "most")])
-    y = each.select("cluster", *[F.col(c).alias(f"y_{c}") for c in ("band", "block", "least", "most")])
-    pairs = x.join(y, "cluster").filter(
-        "(x_band < y_band or x_band = y_band and x_block <= y_block)").filter(den * F.col("x_most") >= num * F.col("y_least"))
-    tile = F.xxhash64("cluster", "x_band", "x_block", "y_band", "y_block").alias("tile")
-    sides = [F.struct(F.col(f"{s}_band").alias("band"), F.col(f"{s}_block").alias("block"), F.lit(k).alias("side"))
-             for k, s in enumerate("xy")]
-    lone = (F.col("x_band") == F.col("y_band")) & (F.col("x_block") == F.col("y_block"))
-    both = F.when(lone, F.array(sides[0])).otherwise(F.array(*sides))
-    return pairs.select("cluster", tile, F.explode(both).alias("of")).select("cluster", "tile", "of.*")
-
-
-def parity_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A bitmap row per set, wide enough for the largest one."""
-    bits = max(MIN_BITS, 1 << (max(map(len, sets)) - 1).bit_length())
-    out = np.zeros((len(sets), bits // 64), np.uint64)
-    for i, s in enumerate(sets):
-        odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-        out[i] = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
-    return out
-
-
-def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common values of two sorted arrays of distinct values."""
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
-
-
-def spanning_links(sets: list[np.ndarray], split: int | None = None) -> list[tuple[int, int]]:
-    """Links (i, j) of a tile that join all sets which its links join. ``split``: only
-    pairs with i < split <= j are compared; else all."""
-    num, den = THRESHOLD
-    sizes = np.array([len(s) for s in sets], np.int64)
-    maps, label, links = parity_bitmaps(sets), np.arange(len(sets)), []
-    order = np.argsort(sizes, kind="stable")
-    for at, i in enumerate(order):
-        # A larger (or as large) partner of set i, as far as sizes allow.
-        end = np.searchsorted(sizes[order], den * sizes[i] // num, "right")
-        others = order[at + 1:end]
-        if split is not None:
-            others = others[(others < split) != (i < split)]
-        others = others[label[others] != label[i]]
-        if not len(others):
-            continue
-        apart = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1, dtype=np.int64)
-        both = sizes[others] + sizes[i]
-        needed = -(-num * both // (num + den))  # least overlap of a link
-        others, needed = others[both - apart >= 2 * needed], needed[both - apart >= 2 * needed]
-        while len(others):
-            j = others[0]
-            if overlap(sets[i], sets[j]) >= needed[0]:
-                links.append((int(i), int(j)))
-                label[label == label[j]] = label[i]
-            left = label[others] != label[i]
-            left[0] = False
-            others, needed = others[left], needed[left]
-    return links
-
-
-def _tile_links(pack: pa.Table) -> pa.Table:
-    """The spanning links of every tile of a pack (tile, side, doc_id, text)."""
-    pack = pack.sort_by([("tile", "ascending"), ("side", "ascending")])
-    tile, side, ids = (pack[c].to_numpy() for c in ("tile", "side", "doc_id"))
-    cuts = np.flatnonzero(np.diff(tile, prepend=tile[0] - 1, append=tile[-1] - 1))
-    a, b = [], []
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        words, at = word_hashes(pack["text"].slice(lo, hi - lo), lower=True)
-        sets = [shingles(words[at[r]:at[r + 1]], WIDTH) for r in range(hi - lo)]
-        split = int(np.searchsorted(side[lo:hi], 1))
-        for i, j in spanning_links(sets, split if split < hi - lo else None):
-            a.append(ids[lo + i])
-            b.append(ids[lo + j])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links (a, b) that join all documents which links join; ``sets``: rows as
     :data:`SKETCH`, ``docs``: (doc_id, text). The tiles get texts, which are smaller than
     sets, and hash them again."""
     known = clusters(sets)
     near = staged(sets.select(*SKETCH[:4]).join(known, "doc_id"), "join-near")
-    distinct = staged(near.distinct(), "join-distinct")
-    placed = staged(blocks(distinct), "join-blocked")
-    spread = placed.join(tiles(placed), ["cluster", "band", "block"])
-    spread = staged(spread.select(F.col("doc_id").alias("_id"), "n_shingles", "tile", "side"), "join-tiles")
-    load = spread.agg(F.sum("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    packs = max(1, -(-(load["n"] or 0) // (2 * BLOCK)))
-    to = spread.select("_id", "tile", "side", F.pmod(F.xxhash64("tile"), F.lit(packs)).alias("pack")).distinct()
+    distinct = staged(near.distinct().withColumn("label", F.col("doc_id")), "join-distinct")
     texts = docs.filter("text is not null")
     if near.count() > distinct.count():  # repeated rows
         texts = keep_ids(texts, F.col("doc_id"), known.select(F.col("doc_id").alias("_wanted")), "_wanted")
         texts = texts.dropDuplicates()
-    dealt = texts.join(F.broadcast(to) if load["rows"] <= BROADCAST_IDS else to, F.col("doc_id") == F.col("_id"))
-    dealt = dealt.select("pack", "tile", "side", "doc_id", "text")
-    return staged(dealt.groupBy("pack").applyInArrow(_tile_links, "a long, b long"), "join-links")
+    return met(distinct, texts, THRESHOLD, exact(WIDTH, THRESHOLD))
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from llm_cases import DOCS, docs, no_docs, ordered
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontam, neardup
+from tarmac.llm import decontam, neardup, tiles
 from tarmac.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -195,7 +195,7 @@ def test_links_between_documents_that_are_no_centre(spark):
     assert got == expected
 
 
-def test_large_open_buckets_are_swept_whole(spark, monkeypatch):
+def test_large_open_buckets_are_compared_whole(spark, monkeypatch):
     rng = random.Random(31)
     base, texts = words(rng, 150), {}
     for g in range(40):  # every shingle is in about half of the documents
@@ -210,16 +210,11 @@ def test_large_open_buckets_are_swept_whole(spark, monkeypatch):
     sizes = neardup.sketches(data).select("doc_id", F.col("n_shingles").alias("n"))
     members = sizes.select(F.lit(1).alias("key"), "doc_id", F.lit(80).alias("members"))
     none = sizes.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
-    # As if neither the first stars nor any draw had met a linked pair.
-    monkeypatch.setattr(neardup, "star_candidates", lambda members: none)
-    monkeypatch.setattr(neardup, "turned_candidates", lambda rows, turn: none)
-    parts = []
-    swept = neardup.swept_candidates
-    monkeypatch.setattr(neardup, "swept_candidates", lambda rows, part, n: parts.append(n) or swept(rows, part, n))
-    monkeypatch.setattr(neardup, "SWEEP_PAIRS", 20_000)
-    found = neardup.linked_groups(sizes.select(F.col("doc_id").alias("node")), members, data, sizes, none).collect()
-    assert dict(map(tuple, found)) == {i: c for i, (_, c) in expected.items()}
-    assert parts and parts[0] > 1
+    monkeypatch.setattr(neardup, "star_candidates", lambda members: none)  # as if stars had met no linked pair
+    for rows in (2048, 16):  # one tile, many tiles
+        monkeypatch.setattr(tiles, "BLOCK_ROWS", rows)
+        found = neardup.linked_groups(sizes.select(F.col("doc_id").alias("node")), members, data, sizes, none).collect()
+        assert dict(map(tuple, found)) == {i: c for i, (_, c) in expected.items()}
 
 
 def test_signature_similarity_is_unbiased():
@@ -247,4 +242,6 @@ def test_neardup_odd_rows(spark):
     left = neardup.deduplicated(docs(spark))
     assert left.columns == docs(spark).columns
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 8, 9]
+    twice = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (2, "a b", "y")], "doc_id long, text string, source string")
+    assert sorted(map(tuple, neardup.deduplicated(twice).collect())) == [(1, None, "x"), (2, "a b", "y")]
     assert neardup.near_duplicates(no_docs(spark)).count() == 0 == neardup.deduplicated(no_docs(spark)).count()
