@@ -12,7 +12,8 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta, timezone
 
 from tarmac.plans import insights
-from tarmac.plans.registry import UPSERT_INSERTED_PRIORITY, UPSERT_UPDATED_PRIORITY
+from tarmac.operators.quality import CHECKS
+from tarmac.plans.registry import REPEAT_STEP, REPEATS, UPSERT_INSERTED_PRIORITY, UPSERT_UPDATED_PRIORITY
 from tarmac.plans.replace import SOURCE_CODE, TARGET_CODE
 from tarmac.sources.fixtures import (
     AIRPORT_CODES, AIRPORT_OFFSETS, AIRPORT_ZONES, BASE_DATE, CARRIER_CODES,
@@ -349,4 +350,48 @@ SELECT iata, timezone_offset,
 FROM airports_src WHERE iata IS NOT NULL""",
     "csv_export_roundtrip": with_flights(f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
     "stream_enrich_load": with_flights(f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
+    "q04_switched": with_flights(REPLACE_CTE + "\nSELECT * FROM departures_r"),
+    "q04_switched_flights": with_flights(REPLACE_CTE + "\nSELECT * FROM flights_r"),
+    "q04_switched_counts": _counts("flights_t", "airtime_t", "departures_t", "departures_1"),
+    "delete_partition": with_flights(f"SELECT * FROM departures_t WHERE origin <> '{SRC}'"),
+    "q02_from_partitions": with_flights(f"""
+SELECT count(DISTINCT origin) AS airport_codes FROM departures_t
+WHERE starts_with(origin, '{insights.Q2_PREFIX}')"""),
+    "upsert_files": UPSERT,
+    "upsert_sink": UPSERT,
+    "layout_check": with_flights("".join(f"""
+{'UNION ALL ' if i else ''}SELECT '{name}' AS table_name, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order_rows,
+       CAST(0 AS BIGINT) AS overlapping_files FROM {view}""" for i, (name, view) in enumerate(
+        (("flights", "flights_t"), ("airport_departures", "departures_t"), ("flights_airtime", "airtime_t"))))),
+    "dq_all": with_flights("".join(f"""
+{'UNION ALL ' if i else ''}SELECT '{name}' AS check_name, id FROM enriched WHERE {cond}"""
+                                   for i, (name, cond) in enumerate(CHECKS.items()))),
+    "dq_repeated_load": with_flights(f"""
+, loads AS (SELECT r.* REPLACE (id + n * {REPEAT_STEP} AS id) FROM flights_raw r, range({REPEATS}) t(n)),
+natural_keys AS (SELECT count(*) AS copies, list(id ORDER BY id) AS ids FROM loads
+                 GROUP BY {', '.join(c.strip() for c in RAW_COLUMNS.split(',') if c.strip() != 'id')} HAVING count(*) > 1)
+SELECT copies, CASE WHEN len(list_distinct(gaps)) = 1 AND gaps[1] > 0 THEN gaps[1] END AS id_step, count(*) AS flights
+FROM (SELECT copies, list_transform(range(1, len(ids)), lambda i: ids[i + 1] - ids[i]) AS gaps FROM natural_keys) g
+GROUP BY 1, 2"""),
+    "csv_rejects": with_flights("""
+SELECT id, CASE id % 50 WHEN 7 THEN 'date' WHEN 8 THEN 'columns' WHEN 9 THEN 'value' ELSE 'good' END AS reason
+FROM flights_raw"""),
+    "offset_path": with_flights("""
+SELECT r.id, CAST(fl_date AS VARCHAR) || lpad(dep_time, 4, '0') AS date_time,
+       CASE WHEN fl_date IS NULL OR dep_time IS NULL THEN CAST(0 AS BIGINT)
+            ELSE epoch_ms(CAST(fl_date AS TIMESTAMP)) + (CAST(substr(lpad(dep_time, 4, '0'), 1, 2) AS BIGINT) * 60
+                 + CAST(substr(lpad(dep_time, 4, '0'), 3, 2) AS BIGINT)) * 60000 - timezone_offset * 3600000 END
+         AS dep_time_utc_ms
+FROM flights_raw r JOIN airports_src a ON r.origin = a.iata"""),
+    "flights_columns": with_flights("SELECT id, origin, dep_time FROM flights_t"),
+    "dq_origin": with_flights(f"SELECT {AUDIT} FROM enriched WHERE origin = 'STT'"),
+    "dq_elapsed_111": with_flights(f"SELECT {AUDIT} FROM enriched WHERE actual_elapsed_time = 111"),
+    "airport_duplicates": "WITH " + AIRPORTS_CTE.strip() + """
+SELECT iata, count(*) AS occurrences
+FROM (SELECT iata FROM airports_src UNION ALL SELECT iata FROM airports_src WHERE airport_id % 5 = 0) a
+WHERE iata IS NOT NULL GROUP BY iata HAVING count(*) > 1""",
+    "rejected_null_keys": with_flights("""
+SELECT id, 'airport_departures' AS table_name FROM flights_t
+WHERE id % 11 = 0 OR origin IS NULL OR dep_time IS NULL
+UNION ALL SELECT id, 'flights_airtime' FROM flights_t WHERE id % 7 = 0 OR fl_num IS NULL OR air_time IS NULL"""),
 }

@@ -8,28 +8,32 @@ and every computed column is aliased, so results compare 1:1 with ``plans.oracle
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.clock import zone_offset_text
+from tarmac.functions.clock import date_time_text, offset_zone_id, utc_millis, zone_offset_text
 from tarmac.operators import quality
 from tarmac.operators.aggregate import grouped_count
 from tarmac.operators.derive import rejected_rows
 from tarmac.operators.enrich import enrich_flights, unmatched_airports
+from tarmac.operators.joins import duplicate_keys
 from tarmac.operators.keyed import dedupe_keys, upsert
 from tarmac.plans import insights
 from tarmac.plans.jobs import Version, build_tables, downstream, enriched_table
-from tarmac.plans.replace import replace_code
-from tarmac.schema import AIRTIME_TABLE, DEPARTURES_TABLE, ENRICHED_TABLE, FLIGHTS_TABLE
+from tarmac.plans.replace import SOURCE_CODE, replace_code
+from tarmac.plans.rewrite import replace_code_in, upsert_bucketed, upsert_into, write_bucketed
+from tarmac.schema import AIRTIME_TABLE, DEPARTURES_TABLE, ENRICHED_TABLE, FLIGHTS_TABLE, KeyedTable
 from tarmac.session import scratch_path
 from tarmac.sources.files import (
-    export_csv, read_airports_csv, read_csv, read_flights_csv, read_table, write_airports_csv,
-    write_flights_csv,
+    export_csv, read_airports_csv, read_csv, read_flights_csv, read_flights_csv_checked, read_table,
+    write_airports_csv, write_flights_csv,
 )
 from tarmac.sources.fixtures import load_fixture, read_tables
+from tarmac.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -266,6 +270,135 @@ def q_stream_enrich_load(spark, sf_dir):
     return _lower(spark.read.schema(ENRICHED_TABLE.schema).parquet(out))
 
 
+def warehouse(spark, sf_dir) -> Warehouse:
+    """A root of its own whose current state is the stored tables of one scale."""
+    wh = Warehouse(spark, scratch_path(spark, "root"))
+    wh.create(FLIGHTS_TABLE, DEPARTURES_TABLE, AIRTIME_TABLE)
+    wh.replace({FLIGHTS_TABLE: flights(spark, sf_dir), DEPARTURES_TABLE: departures(spark, sf_dir),
+                AIRTIME_TABLE: airtime(spark, sf_dir)})
+    return wh
+
+
+def q04_switched(spark, sf_dir):
+    """Q-04 in the warehouse, read back through its current state."""
+    wh = warehouse(spark, sf_dir)
+    replace_code_in(wh)
+    return _ms(wh.read(DEPARTURES_TABLE), "dep_time")
+
+
+def q04_switched_flights(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    replace_code_in(wh)
+    return _ms(wh.read(FLIGHTS_TABLE), "dep_time", "arr_time")
+
+
+def q04_switched_counts(spark, sf_dir):
+    return replace_code_in(warehouse(spark, sf_dir))
+
+
+def q_delete_partition(spark, sf_dir):
+    """D-04: one origin deleted from the stored departures, without reading a row."""
+    wh = warehouse(spark, sf_dir)
+    wh.drop_partition(DEPARTURES_TABLE, SOURCE_CODE)
+    return _ms(wh.read(DEPARTURES_TABLE), "dep_time")
+
+
+def q02_from_partitions(spark, sf_dir):
+    """Q-02 from the partition values of the current state: no row is scanned."""
+    values = warehouse(spark, sf_dir).partitions(DEPARTURES_TABLE)
+    n = sum(v.startswith(insights.Q2_PREFIX) for v in values)
+    return spark.createDataFrame([(n,)], "airport_codes long")
+
+
+def orders_table(orders: DataFrame) -> KeyedTable:
+    return KeyedTable("orders", orders.schema, keys=("o_orderkey",), cluster_by=("o_orderkey",))
+
+
+def q_upsert_files(spark, sf_dir):
+    """S-07: the upsert written into the warehouse (touched files only), read back."""
+    (orders,) = read_tables(spark, sf_dir, "orders")
+    wh, table = Warehouse(spark, scratch_path(spark, "root")), orders_table(orders)
+    wh.replace({table: orders})
+    upsert_into(wh, table, upsert_delta(orders))
+    return wh.read(table)
+
+
+def q_upsert_sink(spark, sf_dir, buckets: int = 16):
+    """S-07 / D-01 on a bucketed table: written, upserted without shuffling it, read back."""
+    (orders,) = read_tables(spark, sf_dir, "orders")
+    names = [f"orders_{uuid.uuid4().hex[:10]}" for _ in range(2)]
+    paths = [scratch_path(spark, n) for n in names]
+    base = write_bucketed(orders, names[0], paths[0], ["o_orderkey"], buckets)
+    return upsert_bucketed(base, upsert_delta(orders), ["o_orderkey"], names[1], paths[1], buckets)
+
+
+def q_layout_check(spark, sf_dir):
+    at, parts = stored(spark, sf_dir), []
+    for t in (FLIGHTS_TABLE, DEPARTURES_TABLE, AIRTIME_TABLE):
+        rows = spark.read.schema(t.schema).parquet(at.path(t))
+        parts.append(quality.layout_check(rows, t.name, list(t.cluster_by), ranged=not t.partition_by))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_dq_all(spark, sf_dir):
+    return quality.exceptions(enriched_stored(spark, sf_dir)).select("check_name", "id")
+
+
+REPEATS, REPEAT_STEP = 3, 100_000_000  # fixed values: the load repeated with moved ids
+
+
+def q_repeated_load(spark, sf_dir):
+    raw, _ = load_fixture(spark, sf_dir)
+    again = raw.withColumn("_n", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
+    return quality.repeated_loads(again.withColumn("ID", F.col("ID") + F.col("_n") * REPEAT_STEP).drop("_n"))
+
+
+def q_csv_rejects(spark, sf_dir):
+    """S-01 with broken lines: a date in another format, a cut line, a word for a number."""
+    raw, _ = load_fixture(spark, sf_dir)
+    cols = [F.date_format("FL_DATE", "yyyy/MM/dd") if c == "FL_DATE" else F.col(c).cast("string") for c in raw.columns]
+    text = [F.coalesce(c, F.lit("")) for c in cols]
+    date, short, word = text.copy(), text[:10], text.copy()
+    date[3], word[18] = F.lit("2012-01-03"), F.lit("far")
+    line = (F.when(F.col("ID") % 50 == 7, F.concat_ws(",", *date)).when(F.col("ID") % 50 == 8, F.concat_ws(",", *short))
+            .when(F.col("ID") % 50 == 9, F.concat_ws(",", *word)).otherwise(F.concat_ws(",", *text)))
+    path = scratch_path(spark, "broken-csv")
+    raw.select(line).write.text(path)
+    good, rejects = read_flights_csv_checked(spark, path)
+    return rejects.select("id", "reason").unionByName(good.select(F.col("ID").alias("id"), F.lit("good").alias("reason")))
+
+
+def q_offset_path(spark, sf_dir):
+    """F-12, F-13: date and clock as one text, and UTC by the airport's numeric offset."""
+    raw, airports = load_fixture(spark, sf_dir)
+    zone = offset_zone_id(zone_offset_text("TIMEZONE_OFFSET", signed=True))
+    zones = airports.filter("IATA IS NOT NULL").select(F.col("IATA").alias("ORIGIN"), zone.alias("zone"))
+    return raw.join(F.broadcast(zones), "ORIGIN").select(  # one row per airport code
+        F.col("ID").alias("id"), date_time_text("FL_DATE", "DEP_TIME").alias("date_time"),
+        utc_millis("FL_DATE", "DEP_TIME", "zone").alias("dep_time_utc_ms"))
+
+
+def q_flights_columns(spark, sf_dir):
+    return _ms(read_table(spark, stored(spark, sf_dir).path(FLIGHTS_TABLE), FLIGHTS_TABLE,
+                          columns=["id", "origin", "dep_time"]), "dep_time")
+
+
+def q_airport_duplicates(spark, sf_dir):
+    """C-07: codes that occur more than once, on airports of which some are listed again."""
+    _, airports = load_fixture(spark, sf_dir)
+    again = airports.filter(F.col("AIRPORT_ID") % 5 == 0)
+    return duplicate_keys(airports.unionByName(again).filter("IATA IS NOT NULL"), ["IATA"]).withColumnRenamed("IATA", "iata")
+
+
+def q_rejected_null_keys(spark, sf_dir):
+    """R3 on flights of which some lack a key part."""
+    null = F.lit(None)
+    df = flights(spark, sf_dir)
+    df = df.withColumn("air_time", F.when(F.col("id") % 7 != 0, F.col("air_time")).otherwise(null))
+    df = df.withColumn("origin", F.when(F.col("id") % 11 != 0, F.col("origin")).otherwise(null))
+    return rejected_rows(df).withColumnRenamed("table", "table_name")
+
+
 QUERIES: dict[str, Query] = {
     "enrich_utc": q_enrich_utc,
     "enrich_inner": q_enrich_inner,
@@ -308,4 +441,21 @@ QUERIES: dict[str, Query] = {
     "csv_export_roundtrip": q_csv_roundtrip,
     "audit_csv_export": q_csv_export,
     "stream_enrich_load": q_stream_enrich_load,
+    "q04_switched": q04_switched,
+    "q04_switched_flights": q04_switched_flights,
+    "q04_switched_counts": q04_switched_counts,
+    "delete_partition": q_delete_partition,
+    "q02_from_partitions": q02_from_partitions,
+    "upsert_files": q_upsert_files,
+    "upsert_sink": q_upsert_sink,
+    "layout_check": q_layout_check,
+    "dq_all": q_dq_all,
+    "dq_repeated_load": q_repeated_load,
+    "csv_rejects": q_csv_rejects,
+    "offset_path": q_offset_path,
+    "flights_columns": q_flights_columns,
+    "dq_origin": _check(quality.spot_check, origin="STT"),
+    "dq_elapsed_111": _check(quality.spot_check, actual_elapsed_time=111),
+    "airport_duplicates": q_airport_duplicates,
+    "rejected_null_keys": q_rejected_null_keys,
 }

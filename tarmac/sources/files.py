@@ -13,8 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.schema import AIRPORTS, FLIGHTS_RAW, KeyedTable
+from tarmac.session import scratch_path
 
 FLIGHT_DATE_FORMAT = "yyyy/MM/dd"
 
@@ -28,6 +30,37 @@ def read_flights_csv(spark: SparkSession, path: str, date_format: str = FLIGHT_D
             .csv(path))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_flights_csv_checked(spark: SparkSession, path: str, date_format: str = FLIGHT_DATE_FORMAT
+                             ) -> tuple[DataFrame, DataFrame]:
+    """S-01 with bad-record accounting: (flights, rejects). A line that does not fit the
+    schema goes to the rejects as (id, reason, line), reason being ``columns`` (too few or
+    too many), ``date`` or ``value``; ``id`` is its first field where that is a number.
+
+    The file is parsed once, whole rows with their verdicts, into the shared scratch folder;
+    both frames read that copy."""
+    schema = T.StructType([*FLIGHTS_RAW.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    df = (spark.read.schema(schema).option("header", "false").option("sep", ",")
+          .option("dateFormat", date_format).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return split_rejects(materialize(df, scratch_path(spark, "parsed-csv")), date_format)
+
+
+def split_rejects(scanned: DataFrame, date_format: str = FLIGHT_DATE_FORMAT) -> tuple[DataFrame, DataFrame]:
+    """Rows of a scan with the corrupt-record column as (good rows, rejects)."""
+    n, names = len(scanned.columns) - 1, [c for c in scanned.columns if c != CORRUPT]
+    fields = F.from_csv(F.col(CORRUPT), F.lit(", ".join(f"f{i} STRING" for i in range(n + 1))))
+    commas = F.length(F.regexp_replace(F.regexp_replace(CORRUPT, '"[^"]*"', ""), "[^,]", ""))
+    day = F.col("_f")[f"f{names.index('FL_DATE')}"]
+    reason = (F.when(commas != n - 1, "columns")
+              .when(day.isNotNull() & F.try_to_timestamp(day, F.lit(date_format)).isNull(), "date").otherwise("value"))
+    bad = scanned.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, fields.alias("_f"))
+    rejects = bad.select(F.col("_f.f0").try_cast("long").alias("id"), reason.alias("reason"), F.col(CORRUPT).alias("line"))
+    return scanned.filter(F.col(CORRUPT).isNull()).select(*names), rejects
+
+
 def read_airports_csv(spark: SparkSession, path: str, reject_null_iata: bool = True) -> DataFrame:
     """S-02 (+P-14). Declared schema instead of inference; null IATA rows rejected."""
     df = (spark.read.schema(AIRPORTS)
