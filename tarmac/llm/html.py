@@ -139,18 +139,13 @@ def blocks(page: str) -> list[Block]:
                 state["links"] += len(text.strip())
 
     at, end = 0, len(page)
-    skip = None  # inside script, style and the like
-    for m in TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        if skip is None:
-            say(page[at:m.start()])
+    # Looked for from the end of the last one: what a skipped element holds opens nothing.
+    while m := TOKEN.search(page, at):
+        say(page[at:m.start()])
         at = m.end()
         kind, tag = m.group(1), (m.group(2) or "").lower()
         if not tag or kind in ("!", "?") and kind:
             continue
-        if skip is not None:
-            continue
         if tag in SKIPPED_TAGS:
             if not kind and not m.group(3).endswith("/"):
                 ends = re.compile(f"</{tag}[\\s/>]", re.I).search(page, at)
@@ -179,7 +174,9 @@ def blocks(page: str) -> list[Block]:
         if tag in CLOSES_P and stack[-1][0] == "p":
             close("p")
         for other in CLOSES_SAME.get(tag, ()):
-            for name, _, _ in reversed(stack[-8:]):
+            if not opened[other]:
+                continue
+            for name, _, _ in reversed(stack):
                 if name == other:
                     close(other)
                     break

@@ -166,3 +166,16 @@ def test_html_odd_pages(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"] and got.count() == len(ODD_PAGES)
     assert html.extracted(spark.createDataFrame([], PAGES)).count() == 0
     assert np.array_equal(html.fit(np.zeros((0, 7)), np.zeros(0)), html.DEFAULT_WEIGHTS)
+
+
+def test_comment_signs_in_scripts_open_nothing():
+    for inner in ('var s="<!--";', 'if (a<b) { x = "<div>"; }', "<!-- a --> <b"):
+        page = f"<script>{inner}</script><article><p>Hello there, this is the article.</p></article><div>more</div>"
+        assert html.main_text(page, html.DEFAULT_WEIGHTS).startswith("Hello there, this is the article.")
+        assert "<" not in html.main_text(page, html.DEFAULT_WEIGHTS)
+
+
+def test_implied_closes_look_at_all_open_elements():
+    deep = "<b>" + "<div>" * 12
+    page = f"<main><table><tr><td>one{deep}<td>two</table></main>"
+    assert "\n\n".join(html.main_text(page, html.DEFAULT_WEIGHTS).split("\n\n")) == "one\n\ntwo"
