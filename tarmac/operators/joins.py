@@ -45,8 +45,8 @@ def dimension_stats(dim: DataFrame, key: str) -> DimensionStats:
 
 
 def checked_broadcast(dim: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the measured row count is within ``max_rows``."""
-    return F.broadcast(dim) if rows <= max_rows else dim
+    """Broadcast hint only when the measured rows are within ``max_rows`` and the byte bound."""
+    return F.broadcast(dim) if fits_broadcast(dim, rows, max_rows) else dim
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -54,18 +54,19 @@ def dedupe_keys_measured(df: DataFrame, keys: Sequence[str], order_by: Sequence[
     """D-02 for a stored table (cheap to read twice): same result as :func:`dedupe_keys`.
 
     First counts rows per key reading only the key columns (hash partial aggregation)
-    and measures how many keys repeat. None: the table is returned as is, no shuffle.
-    Up to ``max_broadcast_keys``: only rows of repeated keys are deduplicated; all other
+    and measures how many keys repeat (stored, so that this runs once). None: the table is returned as is, no shuffle.
+    Up to ``max_broadcast_keys`` (and the byte bound): only rows of repeated keys are deduplicated; all other
     rows pass through a broadcast anti join. More: the full :func:`dedupe_keys`.
     Keys are matched null-safely, so null keys are grouped as in :func:`dedupe_keys`.
     """
     keys = list(keys)
     repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+    repeated = materialize(repeated, scratch_path(df.sparkSession, "repeated-keys"))
     n = repeated.count()
     if n == 0:
         return df
-    if n > max_broadcast_keys:
+    if not fits_broadcast(repeated, n, max_broadcast_keys):
         return dedupe_keys(df, keys, order_by, descending)
     b = F.broadcast(repeated)
     cond = None

@@ -112,7 +112,7 @@ def read_table(spark: SparkSession, path: str, table: KeyedTable,
 
 
 def write_table(df: DataFrame, path: str, table: KeyedTable,
-                observe: tuple | None = None) -> None:
+                observe: tuple | None = None, keep_layout: bool = False) -> None:
     """S-06/S-08/S-10. Write one full version of a keyed table with its layout.
 
     Directory-partitioned tables (``partition_by``) go through an adaptive
@@ -122,15 +122,17 @@ def write_table(df: DataFrame, path: str, table: KeyedTable,
     sized without a sampling pass over the input. Rows are then sorted within each
     task by (partition, clustering) columns: few files per directory, clustering
     order inside each file (min/max row-group skipping on range filters). Tables
-    without directory partitioning are dealt by ranges of their first clustering column,
-    so a lookup on it opens the files of one range. ``observe`` = (Observation, *metric
-    columns) collects row metrics during the write itself.
+    without directory partitioning are dealt by ranges of their clustering columns, so a
+    lookup opens the files of one range and a hot value of the first column can be split.
+    ``keep_layout``: ``df`` is a narrow change of a stored table, whose distribution stays
+    (no sampling pass, no shuffle; rows are only sorted inside each task). ``observe`` =
+    (Observation, *metric columns) collects row metrics during the write itself.
     """
     out = df.select(*table.columns)
     if table.partition_by:
         out = out.hint("rebalance", *table.partition_by)
-    elif table.cluster_by:
-        out = out.repartitionByRange(table.cluster_by[0])
+    elif table.cluster_by and not keep_layout:
+        out = out.repartitionByRange(*table.cluster_by)
     order = list(table.partition_by) + list(table.cluster_by)
     if order:
         out = out.sortWithinPartitions(*order)

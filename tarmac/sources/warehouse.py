@@ -98,16 +98,10 @@ class Warehouse:
     def write(self, df: DataFrame, table: KeyedTable, keep_order: bool = False,
               observe: tuple | None = None) -> Layer:
         """A new layer with the rows of ``df``, not current before a commit. ``keep_order``:
-        ``df`` is a narrow change of stored rows, whose order and files are kept (no shuffle)."""
+        ``df`` is a narrow change of stored rows, whose distribution is kept (no shuffle)."""
         name = f"layer-{uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{table.name}/{name}"
-        if keep_order:
-            out = df.select(*table.columns)
-            if observe:
-                out = out.observe(observe[0], *observe[1:])
-            out.write.parquet(path)
-        else:
-            write_table(df, path, table, observe)
+        write_table(df, path, table, observe, keep_layout=keep_order)
         return Layer(name, tuple(n for n in self._listed(path) if n.endswith(".parquet")))
 
     def create(self, *tables: KeyedTable) -> State:
