@@ -7,20 +7,25 @@ language with the fewest wins. Ties, common among very short texts, go to the la
 with more labelled documents, then to the smaller code.
 
 Texts are read as lower-cased letters, any run of other characters being one separator.
-Automata are laid out as dense tables, and the parse runs over pieces of ``PIECE``
-symbols side by side (a phrase ends with its piece, alike for every language), so the
-whole of every text is parsed in vectorised steps and memory depends on neither text
-length nor batch size.
+A phrase begins with every symbol that does not go on from the state before, so phrases are
+counted by their beginnings. Texts are parsed in pieces of ``PIECE`` symbols side by side,
+first as if a phrase began with each piece; then each piece is read again from the state in
+which the one before ends, as far as its states differ (rarely for long, as both ways soon
+break at the same place). The result is the parse of the whole text, phrases across piece
+ends included, and memory depends on neither text length nor batch size. A text whose
+pieces do not settle in ``TOGETHER`` rounds goes on piece by piece.
+
+Automata are kept as combs (rows of transitions laid into each other's gaps), whose size
+follows the sample and not the number of letters, so no learned letter is left out.
 
 Defined results for odd input: null texts, texts without a letter, and every text when
 nothing labelled was learned are ``und`` with score 0; rows with a null id or null
 language teach nothing; a language needs no minimum of text; repeated rows are predicted
-alike; letters outside the ``ALPHABET`` most frequent learned ones are matched by no sample.
+alike; letters that no sample holds are phrases of their own.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,13 +37,14 @@ from tarmac.llm.common import bounded_batches, table
 from tarmac.llm.tokens import row_slices
 
 # The bounded training sample: so many documents per language (smallest hash of the id),
-# so many first code points of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 64, 256
-ALPHABET = 200
+# so many code points in a row of each, from a place that the id's hash chooses.
+SAMPLE_DOCS, SAMPLE_CHARS = 64, 400
 PIECE = 256       # symbols parsed in a row
 LANES = 1 << 20   # symbols in flight at once
+TOGETHER = 3      # rounds in which all unsettled pieces are read again
+WINDOW = 512      # slots of a comb looked at together
 
-SEPARATOR, PAD = 0, 1  # symbols; letters follow, then one for letters never learned
+SEPARATOR = 0     # letters follow, then one symbol for letters never learned
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -71,22 +77,66 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+@dataclass
+class Automaton:
+    """A comb: the move of ``state`` on ``symbol``, if any, is at base[state] + symbol."""
+
+    base: np.ndarray
+    slots: np.ndarray    # the state whose move is in a slot (-1: free) << 32 | where it goes
+    first: np.ndarray    # symbol -> state after a phrase's first symbol (0: unknown symbol)
+
+
 @dataclass
 class Model:
     languages: list[str]
     symbol: np.ndarray   # code point -> symbol
-    moves: np.ndarray    # all automata: (row of the next state << 2) | phrases ended
-    roots: np.ndarray    # row of each automaton's root
+    automata: list[Automaton]
+
+
+def comb(step: list[dict[int, int]], width: int) -> Automaton:
+    """Lays the rows of all states but the root into one array, those of most moves first.
+    ``width`` empty slots at both ends catch looks beyond a row."""
+    grow = sum(map(len, step)) + 2 * width + WINDOW
+    free = np.ones(grow, bool)
+    base = np.zeros(len(step), np.int64)
+    low = 0  # rows of several moves are placed from here on
+    for s in sorted((s for s in range(1, len(step)) if len(step[s]) > 1), key=lambda s: -len(step[s])):
+        symbols = np.array(sorted(step[s]), np.int64) - min(step[s])
+        at = low
+        while True:
+            if at + WINDOW + width > len(free):
+                free = np.append(free, np.ones(grow, bool))
+            start = at + np.flatnonzero(free[at:at + WINDOW])
+            fits = np.flatnonzero(free[start[:, None] + symbols].all(1)) if len(start) else start
+            if len(fits):
+                break
+            # A window that is nearly full is left to rows of one move, which fit anywhere.
+            low = at + WINDOW if at == low and len(start) < WINDOW // 8 else low
+            at += WINDOW
+        base[s] = start[fits[0]] - min(step[s])
+        free[start[fits[0]] + symbols] = False
+    single = [s for s in range(1, len(step)) if len(step[s]) == 1]
+    place = np.flatnonzero(np.append(free, np.ones(len(single), bool)))[:len(single)]
+    base[single] = place - np.array([next(iter(step[s])) for s in single], np.int64)
+    base += width
+    moves = np.array([(s, c, t) for s in range(1, len(step)) for c, t in step[s].items()], np.int64).reshape(-1, 3)
+    at = base[moves[:, 0]] + moves[:, 1]
+    base[[s for s in range(len(step)) if not s or not step[s]]] = at.max(initial=0) + 1
+    slots = np.full(base[0] + width, -1 << 32, np.int64)
+    slots[at] = moves[:, 0] << 32 | moves[:, 2]
+    first = np.zeros(width, np.int64)
+    first[list(step[0])] = list(step[0].values())
+    return Automaton(base, slots, first)
 
 
 def _symbols(letters: list[str]) -> np.ndarray:
     points = [chr(p) if not 0xD800 <= p < 0xE000 else " " for p in range(0x110000)]
-    out = np.where(np.fromiter(map(str.isalpha, points), bool, len(points)), len(letters) + 2, SEPARATOR)
+    out = np.where(np.fromiter(map(str.isalpha, points), bool, len(points)), len(letters) + 1, SEPARATOR)
     for k, letter in enumerate(letters):
         for form in {letter, letter.upper()}:
             if len(form) == 1:
-                out[ord(form)] = k + 2
-    return out.astype(np.uint8)
+                out[ord(form)] = k + 1
+    return out.astype(np.min_scalar_type(len(letters) + 1))
 
 
 def fold(symbol: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +145,7 @@ def fold(symbol: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum([0, *map(len, texts)])
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     s = symbol[points]
-    before = np.empty(len(s), np.uint8)
+    before = np.empty_like(s)
     before[1:] = s[:-1]
     before[ends[:-1][ends[:-1] < len(s)]] = SEPARATOR
     keep = (s != SEPARATOR) | (before != SEPARATOR)
@@ -104,35 +154,52 @@ def fold(symbol: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def learn(samples: dict[str, list[str]]) -> Model:
     """Automata from texts by language; the order of languages decides ties."""
-    counts = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-    letters = sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
-    symbol, width = _symbols(letters), len(letters) + 3
-    languages, tables, roots, rows = [], [], [], 0
+    letters = sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()})
+    model = Model([], _symbols(letters), [])
     for language in samples:
-        text, _ = fold(symbol, samples[language])
-        if not (text != SEPARATOR).any():
-            continue
-        step = suffix_automaton(text.tolist())
-        root = rows
-        # A missing move ends the phrase and starts the next one with the same symbol; a
-        # symbol unknown to the sample is a phrase of its own.
-        first = np.full(width, root << 2 | 1, np.int64)
-        for c, t in step[0].items():
-            first[c] = (root + t * width) << 2
-        moves = np.where(first & 1, root << 2 | 2, first | 1)[None, :].repeat(len(step), 0)
-        moves[0] = first
-        moves[:, PAD] = (root + np.arange(len(step)) * width) << 2
-        at = [(s, c, t) for s, to in enumerate(step) for c, t in to.items() if s]
-        if at:
-            s, c, t = np.array(at).T
-            moves[s, c] = (root + t * width) << 2
-        languages.append(language)
-        tables.append(moves.ravel())
-        roots.append(root)
-        rows += moves.size
-    moves = np.concatenate(tables) if tables else np.zeros(0, np.int64)
-    small = np.int32 if rows < 1 << 29 else np.int64
-    return Model(languages, symbol, moves.astype(small), np.array(roots, small))
+        text, _ = fold(model.symbol, samples[language])
+        if (text != SEPARATOR).any():
+            model.languages.append(language)
+            model.automata.append(comb(suffix_automaton(text.tolist()), len(letters) + 2))
+    return model
+
+
+def _move(a: Automaton, state: np.ndarray, symbol: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(next states, whether a phrase begins with the symbol)."""
+    move = a.slots.take(a.base.take(state) + symbol)
+    begins = (move >> 32) != state
+    # The root owns no slot, so a phrase begins with every symbol read there.
+    return np.where(begins, first, move & 0xFFFFFFFF), begins
+
+
+def _beginnings(a: Automaton, lanes: np.ndarray, owner: np.ndarray, before: int) -> tuple[np.ndarray, int]:
+    """Where phrases begin in the pieces ``lanes[:, j]`` of the texts ``owner[j]``, and the
+    state after the last one. ``before``: the state in front of the first piece."""
+    follows = np.concatenate([[False], owner[1:] == owner[:-1]])
+    entry = np.zeros(lanes.shape[1], np.int64)
+    entry[0] = before
+    states, begins = np.empty(lanes.shape, np.int32), np.empty(lanes.shape, bool)
+    state, first = entry, a.first.take(lanes)
+    for k in range(len(lanes)):
+        state, begins[k] = _move(a, state, lanes[k], first[k])
+        states[k] = state
+    turn = 0
+    while True:
+        true = np.where(follows, np.concatenate([[0], states[-1, :-1]]), entry)
+        lane = np.flatnonzero(true != entry)
+        if not len(lane):
+            return begins, int(states[-1, -1])
+        if turn >= TOGETHER:  # the first unsettled piece of each text
+            lane = lane[np.unique(owner[lane], return_index=True)[1]]
+        turn += 1
+        entry[lane] = state = true[lane]
+        for k in range(len(lanes)):
+            state, begins[k, lane] = _move(a, state, lanes[k, lane], first[k, lane])
+            other = state != states[k, lane]
+            states[k, lane] = state
+            lane, state = lane[other], state[other]
+            if not len(lane):
+                break
 
 
 def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -147,22 +214,15 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     start = off[owner] + nth * PIECE
     stop = np.minimum(start + PIECE, off[owner] + size[owner])
     out = np.zeros((len(model.languages), len(texts)), np.int64)
-    if not len(owner):
-        return out, size
-    s = np.append(s, np.uint8(PAD))
+    last = [0] * len(out)
     for lo in range(0, len(owner), LANES // PIECE):
         part = slice(lo, lo + LANES // PIECE)
-        at = start[part] + np.arange(PIECE)[:, None]
-        lanes = s[np.where(at < stop[part], at, len(s) - 1)].astype(model.moves.dtype)
-        state = np.repeat(model.roots[:, None], lanes.shape[1], 1)
-        ended = np.zeros(state.shape, np.int32)
-        for k in range(min(PIECE, int((stop[part] - start[part]).max()))):
-            move = model.moves[state + lanes[k]]
-            ended += (move & 3).astype(np.int32)
-            state = move >> 2
-        ended += state != model.roots[:, None]
-        for k in range(len(out)):
-            out[k] += np.bincount(owner[part], ended[k], len(texts)).astype(np.int64)
+        at = start[part] + np.arange(min(PIECE, int((stop[part] - start[part]).max())))[:, None]
+        real = at < stop[part]
+        lanes = s[np.where(real, at, 0)]
+        for k, a in enumerate(model.automata):
+            begins, last[k] = _beginnings(a, lanes, owner[part], last[k] if nth[lo] else 0)
+            out[k] += np.bincount(owner[part], (begins & real).sum(0), len(texts)).astype(np.int64)
     return out, size
 
 
@@ -189,8 +249,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     F.col(text_col).alias("text"))
     d = d.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull()
                  & ~held_out("id"))
-    head = d.select("lang", F.xxhash64(F.col("id").cast("string")).alias("h"),
-                    F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    h = F.xxhash64(F.col("id").cast("string"))
+    start = F.pmod(F.xxhash64(h), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    head = d.select("lang", h.alias("h"), F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
     # Only a language's first rows by hash leave a task (the planner limits each group).
     order = Window.partitionBy("lang").orderBy("h", "text")
     rows = head.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS).collect()

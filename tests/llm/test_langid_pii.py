@@ -46,6 +46,45 @@ def test_pieces_cover_long_texts():
     assert sizes[0] > 40_000 and both[0][0] < both[1][0]
 
 
+def test_phrases_run_across_pieces(monkeypatch):
+    rng = random.Random(4)
+    samples = {"x": ["abab" * 9, "aaaaaaab"], "y": ["cabbage " * 5], "z": ["b"]}
+    model = langid.learn(samples)
+    subs = []
+    for raw in samples.values():
+        s = langid.fold(model.symbol, raw)[0].tolist()
+        subs.append({tuple(s[a:b]) for a in range(len(s)) for b in range(a + 1, len(s) + 1)})
+    texts = ["a" * 500, "ab" * 300, "cabbage " * 60, "", "7", "b"]
+    texts += ["".join(rng.choice("aab cge?") for _ in range(rng.randrange(200))) for _ in range(60)]
+    folded = [langid.fold(model.symbol, [t])[0].tolist() for t in texts]
+    expected = [[plain_phrases(sample, f) if any(f) else 0 for f in folded] for sample in subs]
+    for piece, lanes, together in ((128, 1 << 20, 3), (5, 1 << 20, 3), (5, 35, 1), (1, 4, 0), (7, 7, 2)):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        monkeypatch.setattr(langid, "LANES", lanes)
+        monkeypatch.setattr(langid, "TOGETHER", together)
+        assert langid.phrases(model, texts)[0].tolist() == expected
+
+
+def test_scripts_of_many_letters(spark):
+    """Two languages that share a script of 3,000 letters and differ in their words only."""
+    rng = random.Random(6)
+    words = {k: ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(2)) for _ in range(1500)] for k in "ab"}
+    rows = [(i, "".join(rng.choice(words["ab"[i % 2]]) for _ in range(60)), "ab"[i % 2]) for i in range(300)]
+    found = langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    label = {i: lang for i, _, lang in rows}
+    held = [r for r in found if r.held_out]
+    assert len(held) > 40 and sum(r.lang_pred == label[r.doc_id] for r in held) >= 0.97 * len(held)
+    model = langid.learn({k: ["".join(w)] for k, w in words.items()})
+    assert len(model.symbol[0x4E00:0x4E00 + 3000]) == 3000 and model.symbol.max() > 2000
+
+
+def test_training_reads_from_hashed_places(spark):
+    """What identifies the language stands in the last part of long texts only."""
+    rows = [(i, "x " * 300 + ("alpha beta " if i % 2 else "gamma delta ") * 200, "ab"[i % 2]) for i in range(200)]
+    found = langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in found if r.held_out)
+
+
 def test_held_out_accuracy_and_contract(spark):
     got = {r.doc_id: r for r in langid.query(spark, SF).collect()}
     t = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "lang"])
