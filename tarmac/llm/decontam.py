@@ -14,8 +14,8 @@ one scan without any shuffle of the corpus. There is no cap on hits, items or te
 
 Defined results for odd input: null or blank texts and items match nothing; items of
 fewer than ``MIN_TOKENS`` tokens match where the whole item stands unchanged;
-long items are searched in overlapping pieces of ``PIECE`` tokens and give one row;
-repeated document rows each give their rows; null ids are kept as they are.
+an item of any length is laid whole and gives one row per document row; repeated document
+rows, and repeated item rows, each give their rows; null ids stay null.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ MIN_TOKENS = 8        # shorter items are searched exactly
 MIN_MATCH = 12        # verified equal tokens (``IDENTITY`` of the item, if that is less)
 IDENTITY = 0.8        # equal tokens / overlap
 ENTRIES = 1 << 20     # index entries, or tokens to compare, looked at together
-PIECE, PIECE_OVERLAP = 4096, 64
 BLOCK_TOKENS = 500_000
 
 _OFFSETS = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
@@ -65,33 +64,32 @@ def needed(tokens: int) -> int:
 
 @dataclass
 class Index:
-    """Hash index of one block of item pieces."""
-
-    item: np.ndarray    # item id per piece
-    length: np.ndarray  # tokens of the whole item, per piece
-    words: list         # token hashes per piece
-    flat: np.ndarray    # those of all pieces in a row
-    start: np.ndarray   # where a piece begins there (one more at the end)
-    needed: np.ndarray  # equal tokens that make a leak, per piece
+    """Hash index of one block of items."""
+
+    item: list          # id per item, may be None
+    words: list         # token hashes per item
+    flat: np.ndarray    # those of all items in a row
+    start: np.ndarray   # where an item begins there (one more at the end)
+    needed: np.ndarray  # equal tokens that make a leak, per item
     bits: int           # a window's top bits look up ``seen`` before ``keys``
     seen: list          # per mask: which top bits occur
     keys: list          # per mask: sorted distinct window hashes
     first: list         # per mask: where a key's entries start (one more at the end)
-    piece: list         # per mask: piece and position of each entry
+    row: list           # per mask: item and position of each entry
     at: list
 
 
-def build_index(item: list, length: list, words: list[np.ndarray]) -> Index:
-    total = sum(len(w) for w in words)
+def build_index(item: list, words: list[np.ndarray]) -> Index:
+    length = [len(w) for w in words]
+    total = sum(length)
     bits = int(np.clip(np.ceil(np.log2(64 * max(total, 1))), 16, 26))
-    out = Index(np.array(item, np.int64), np.array(length, np.int64), words,
-                np.concatenate([np.zeros(0, np.uint64), *words]),
-                np.cumsum([0, *map(len, words)], dtype=np.int64),
+    out = Index(item, words, np.concatenate([np.zeros(0, np.uint64), *words]),
+                np.cumsum([0, *length], dtype=np.int64),
                 np.array([needed(n) for n in length], np.int64), bits, [], [], [], [], [])
     for mask in range(len(MASKS)):
         hashes = [mask_hashes(w if mask_serves(mask, n) else w[:0], mask) for w, n in zip(words, length)]
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        piece = np.repeat(np.arange(len(words)), [len(x) for x in hashes])
+        row = np.repeat(np.arange(len(words)), [len(x) for x in hashes])
         at = np.concatenate([np.arange(len(x)) for x in hashes]) if hashes else np.zeros(0, int)
         order = np.argsort(h, kind="stable")
         keys, first = np.unique(h[order], return_index=True)
@@ -100,7 +98,7 @@ def build_index(item: list, length: list, words: list[np.ndarray]) -> Index:
         out.seen.append(seen)
         out.keys.append(keys)
         out.first.append(np.append(first, len(h)))
-        out.piece.append(piece[order].astype(np.int32))
+        out.row.append(row[order].astype(np.int32))
         out.at.append(at[order].astype(np.int32))
     return out
 
@@ -132,24 +130,24 @@ def _chunks(n: np.ndarray) -> list[np.ndarray]:
 
 
 def _hopeful(index: Index, words: np.ndarray, at: np.ndarray, laid: np.ndarray) -> np.ndarray:
-    """Those of ``laid`` (row, piece, shift) with enough equal tokens over the whole item."""
+    """Those of ``laid`` (row, item, shift) with enough equal tokens over the whole item."""
     laid = np.unique(laid, axis=1)
-    row, piece, shift = laid
+    row, item, shift = laid
     lo = np.maximum(0, -shift)
-    n = np.minimum(np.diff(index.start)[piece], at[row + 1] - at[row] - shift) - lo
+    n = np.minimum(np.diff(index.start)[item], at[row + 1] - at[row] - shift) - lo
     keep = np.zeros(len(n), bool)
     for k in _chunks(n):
         r = _ragged(n[k])
-        in_item = np.repeat(index.start[piece[k]] + lo[k], n[k]) + r
+        in_item = np.repeat(index.start[item[k]] + lo[k], n[k]) + r
         in_text = np.repeat(at[row[k]] + shift[k] + lo[k], n[k]) + r
         equal = np.add.reduceat((index.flat[in_item] == words[in_text]).astype(np.int64), np.cumsum(n[k]) - n[k])
-        keep[k] = equal >= index.needed[piece[k]]
+        keep[k] = equal >= index.needed[item[k]]
     return laid[:, keep]
 
 
 def find_overlaps(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple]:
     """(row, item, matched, overlap, position, item tokens) of the rows whose words are
-    ``words[at[row]:at[row + 1]]``; one per row and piece, best overlap."""
+    ``words[at[row]:at[row + 1]]``; one per row and item, best overlap."""
     at = np.asarray(at, np.int64)
     found = [np.zeros((3, 0), np.int64)]
     for mask in range(len(MASKS)):
@@ -169,16 +167,16 @@ def find_overlaps(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple
         n = index.first[mask][k + 1] - index.first[mask][k]
         for c in _chunks(n):
             entry = np.repeat(index.first[mask][k[c]], n[c]) + _ragged(n[c])
-            piece, q = index.piece[mask][entry].astype(np.int64), index.at[mask][entry]
+            item, q = index.row[mask][entry].astype(np.int64), index.at[mask][entry]
             found.append(_hopeful(index, words, at, np.stack([
-                np.repeat(row[c], n[c]), piece, np.repeat(i[c] - at[row[c]], n[c]) - q])))
+                np.repeat(row[c], n[c]), item, np.repeat(i[c] - at[row[c]], n[c]) - q])))
     best: dict[tuple[int, int], tuple] = {}
-    for row, piece, shift in np.unique(np.concatenate(found, axis=1), axis=1).T.tolist():
-        got = _verify(words[at[row]:at[row + 1]], index.words[piece], shift)
-        if got[0] >= index.needed[piece] and got[0] > best.get((row, piece), (0,))[0]:
-            best[row, piece] = got
-    return [(row, int(index.item[piece]), *got, int(index.length[piece]))
-            for (row, piece), got in sorted(best.items())]
+    for row, item, shift in np.unique(np.concatenate(found, axis=1), axis=1).T.tolist():
+        got = _verify(words[at[row]:at[row + 1]], index.words[item], shift)
+        if got[0] >= index.needed[item] and got[0] > best.get((row, item), (0,))[0]:
+            best[row, item] = got
+    return [(row, index.item[item], *got, len(index.words[item]))
+            for (row, item), got in sorted(best.items())]
 
 
 HITS = "array<struct<item_id:long,matched:long,overlap:long,position:long,item_words:long>>"
@@ -200,34 +198,26 @@ def _overlap_udf(index) -> Column:
     return overlaps
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["item_id", "piece", "item_words", "words"]
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, words) of the items that have a token."""
     for batch in batches:
         words, at = word_hashes(batch.column(1), ALNUM)
-        rows = []
-        for i, item in enumerate(batch.column(0).to_pylist()):
-            w = words[at[i]:at[i + 1]].view(np.int64)
-            if len(w):
-                for p, a in enumerate(range(0, max(1, len(w) - PIECE_OVERLAP), PIECE)):
-                    rows.append((item, p, len(w), w[a:a + PIECE + PIECE_OVERLAP]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind)
-                                          for k, kind in enumerate(kinds)], names=names)
+        rows = pa.array([words[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:])], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["item_id", "words"]).filter(
+            pa.array(np.diff(at) > 0))
 
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator:
-    """One broadcast hash index per block of the benchmark."""
-    pieces = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.lower(text_col).alias("text"))
-    pieces = staged(pieces.mapInArrow(_pieces, "item_id long, piece long, item_words long, words array<long>"),
-                    "benchmark-pieces")
-    total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
+    """One broadcast hash index per block of the benchmark; an item is in one block."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.lower(text_col).alias("text"))
+    items = staged(items.mapInArrow(_token_rows, "item_id long, words array<long>"), "benchmark-tokens")
+    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = -(-total // BLOCK_TOKENS)
-    block = F.pmod(F.xxhash64("item_id", "piece"), F.lit(max(blocks, 1)))
+    block = F.pmod(F.xxhash64("item_id", "words"), F.lit(max(blocks, 1)))
     for b in range(blocks):
-        rows = pieces.filter(block == b).orderBy("item_id", "piece").collect()
-        yield pieces.sparkSession.sparkContext.broadcast(build_index(
-            [-1 if r.item_id is None else r.item_id for r in rows], [r.item_words for r in rows],
-            [np.array(r.words, np.int64).view(np.uint64) for r in rows]))
+        rows = items.filter(block == b).orderBy("item_id", "words").collect()
+        yield items.sparkSession.sparkContext.broadcast(build_index(
+            [r.item_id for r in rows], [np.array(r.words, np.int64).view(np.uint64) for r in rows]))
 
 
 def with_overlaps(docs: DataFrame, benchmark: DataFrame, out: str, text_col: str = "text") -> DataFrame:

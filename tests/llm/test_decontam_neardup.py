@@ -51,7 +51,7 @@ def test_every_substitution_up_to_the_identity():
     hashes = lambda n: rng.integers(1, 1 << 63, n, dtype=np.uint64)
     for n, others in [(8, 1), (9, 1), (10, 2), (11, 2), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3), (19, 3), (20, 4)]:
         item, before = hashes(n), hashes(9)
-        index = decontam.build_index([5], [n], [item])
+        index = decontam.build_index([5], [item])
         texts = []
         for places in combinations(range(n), others):
             text = item.copy()
@@ -62,7 +62,7 @@ def test_every_substitution_up_to_the_identity():
         assert [g[:3] for g in got] == [(k, 5, n - others) for k in range(len(texts))], (n, others)
     for n in (60, 200):  # random ones in long items, and one too many everywhere
         item = hashes(n)
-        index = decontam.build_index([5], [n], [item])
+        index = decontam.build_index([5], [item])
         for _ in range(200):
             text = item.copy()
             text[rng.choice(n, n // 5, replace=False)] = hashes(n // 5)
@@ -82,6 +82,21 @@ def test_items_of_few_tokens_match_whole(spark):
         (n, n, n, n, 1) for n in range(1, 8)]
 
 
+def test_long_items_and_null_ids(spark):
+    rng = random.Random(8)
+    word = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    long, short, other = word(9000), word(30), word(30)
+    changed = [w if k % 10 else "x" for k, w in enumerate(long)]
+    bench = spark.createDataFrame([(None, " ".join(short)), (-1, " ".join(other)), (7, " ".join(long))],
+                                  "item_id long, text string")
+    texts = [(1, " ".join(word(50) + long + word(9))), (2, " ".join(changed)), (3, " ".join(short)),
+             (4, " ".join(other)), (5, " ".join(word(3) + long[5000:5040])), (6, " ".join(word(400)))]
+    got = decontam.leaks(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()
+    assert ordered(map(tuple, got)) == ordered([
+        (1, 7, 9000, 9000, 50, 9000), (2, 7, 8100, 8999, 1, 9000), (3, None, 30, 30, 0, 30),
+        (4, -1, 30, 30, 0, 30), (5, 7, 40, 40, 3, 9000)])
+
+
 def test_blocks_change_nothing(spark, monkeypatch):
     d, b = table(spark, SF, "documents").limit(300), table(spark, SF, "benchmark")
     whole = ordered(map(tuple, decontam.leaks(d, b).collect()))
