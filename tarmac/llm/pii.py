@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +57,8 @@ def luhn(digits: str) -> bool:
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match can begin only where a run of digits does, so long runs are read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -240,6 +243,12 @@ def tagged(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
     return spans
 
 
+def _clear(starts: list[int], reach: list[int], a: int, b: int) -> bool:
+    """Whether no base span overlaps a:b."""
+    k = bisect_left(starts, b)
+    return not k or reach[k - 1] <= a
+
+
 def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text; both by start, then kind."""
     added = tagged(tagger, texts) if tagger else [[] for _ in texts]
@@ -247,6 +256,8 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
     for text, more in zip(texts, added):
         base = base_spans(text)
         spans = list(base)
+        starts = [s[1] for s in base]
+        reach = list(accumulate((s[2] for s in base), max))  # how far base spans go up to each
         for kind, a, b in more:
             while a < b and text[a].isspace():
                 a += 1
@@ -254,7 +265,7 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
                 b -= 1
             # Part of a longer word or number is not a value of its own.
             cut = text[a - 1:a].isalnum() or text[b:b + 1].isalnum()
-            if a < b and not cut and sound(kind, text[a:b]) and all(b <= s or e <= a for _, s, e in base):
+            if a < b and not cut and sound(kind, text[a:b]) and _clear(starts, reach, a, b):
                 spans.append((kind, a, b))
         out.append((base, sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))))
     return out

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -131,7 +132,12 @@ def test_base_spans_equal_plain_patterns():
     for _ in range(3000):
         text = "".join(rng.choice(bits) for _ in range(rng.randrange(12)))
         assert pii.base_spans(text) == plain_base(text), text
-    pii.base_spans("a" * 300_000 + "@" + "1" * 3000)  # long runs cost nothing
+    bits = ["0", "1", "25", "255", "256", ".", "..", "000", " ", "x"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(20)))
+        assert pii.base_spans(text) == plain_base(text), text
+    for long in ("a" * 300_000 + "@" + "1" * 3000, "1" * 1_000_000, "1.1" * 300_000, ("9" * 50_000 + ".") * 20):
+        pii.base_spans(long)  # long runs are read once
 
 
 @pytest.fixture(scope="module")
@@ -188,6 +194,16 @@ def test_emails_without_digits_in_other_writings(tagger):
     assert found >= 0.8 * tried
 
 
+def test_base_spans_keep_their_place():
+    rng = random.Random(7)
+    for _ in range(500):
+        base = sorted((a, a + rng.randrange(1, 9)) for a in (rng.randrange(40) for _ in range(rng.randrange(5))))
+        starts, reach = [s for s, _ in base], list(itertools.accumulate((e for _, e in base), max))
+        a = rng.randrange(40)
+        b = a + rng.randrange(1, 9)
+        assert pii._clear(starts, reach, a, b) == all(b <= s or e <= a for s, e in base)
+
+
 def test_email_without_digits_or_at_sign_is_redacted(spark, tagger):
     text = "Please write to anna.meier [at] firma [dot] de for the forms"
     one = spark.createDataFrame([(1, text)], "doc_id long, text string")
