@@ -7,8 +7,11 @@ canonical-link edges of the pages join urls into components, found distributed,
 component with a blocked url is blocked unless it holds an explicitly allowed one. What
 no rule reaches is allowed.
 
-Urls are the same when they differ in scheme, a leading ``www.`` or ``m.``, a fragment or
-a tracking parameter only; those forms are one node of the graph.
+Links are resolved against the page's url, or its first ``<base href>``, by RFC 3986: dot
+segments are removed, and links of a scheme without ``//`` lead nowhere. Urls are one node
+of the graph when they are equal after that, the case of scheme and host, the default port
+and the fragment aside. With ``forms=True`` those that differ in scheme, a leading ``www.``
+or ``m.`` or a tracking parameter only are one node too.
 
 DataFrame functions only. Rules are a fixed list that is checked for its length.
 
@@ -39,22 +42,41 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def parsed(df: DataFrame, url: str, prefix: str = "") -> DataFrame:
-    """``df`` plus ``rest`` (what follows the first ``://``; null without one), ``host``,
-    ``path`` and ``node``: the url's place in the graph, its host without ``www.``/``m.``,
-    path, and query without tracking parameters."""
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments; one that does not begin with / is as it is."""
+    parts = F.split(path, "/", -1)
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), none,
+        lambda to, part: F.when(part == "..", F.slice(to, F.lit(1), F.greatest(F.size(to) - 1, F.lit(0))))
+        .when(part == ".", to).otherwise(F.concat(to, F.array(part))))
+    # A path that ends in a dot segment ends in its folder.
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+    return F.when(F.regexp_like(path, F.lit(r"(?s)^/(.*/)?\.\.?(/|$)")), F.concat(
+        F.lit("/"), F.array_join(F.concat(kept, folder), "/"))).otherwise(path)
+
+
+def parsed(df: DataFrame, url: str, prefix: str = "", forms: bool = False) -> DataFrame:
+    """``df`` plus ``host``, ``path`` and ``node``, the url's place in the graph (null
+    without ``://``)."""
     rest, host, path, query, kept, node = (prefix + n for n in ("rest", "host", "path", "query", "kept", "node"))
     df = once(df, **{rest: F.when(F.contains(url, F.lit("://")), F.regexp_replace(url, r"(?s)^.*?://", ""))})
     df = once(df, **{
         host: F.coalesce(ascii_lower(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)), F.lit("")),
         path: F.coalesce(F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1), F.lit("")),
-        query: F.regexp_extract(rest, r"(?s)^[^?#]*\?([^#]*)", 1)})
-    df = once(df, **{kept: F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.regexp_like(
-        p, F.lit(r"(?i)^(utm_[a-z]*|gclid|fbclid|ref)(=|$)")))})
-    tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    return once(df, **{node: F.when(F.col(rest).isNotNull(), F.concat(
-        F.regexp_replace(host, r"^(www|m)\.", ""), F.when(F.col(path) == "", "/").otherwise(F.col(path)), tail))}
-    ).drop(rest, query, kept)
+        query: F.regexp_extract(rest, r"(?s)^[^?#]*(\?[^#]*)", 1)})
+    scheme = ascii_lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
+    port = F.when(scheme == "http", r":(80)?$").when(scheme == "https", r":(443)?$").otherwise(r":$")
+    place = F.regexp_replace(F.col(host), port, F.lit(""))
+    if forms:
+        df = once(df, **{kept: F.filter(F.split(F.substring(query, 2, 1 << 30), "&"), lambda p: (
+            p != "") & ~F.regexp_like(p, F.lit(r"(?i)^(utm_[a-z]*|gclid|fbclid|ref)(=|$)")))})
+        front = F.regexp_replace(place, r"^(www|m)\.", "")
+        tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
+    else:
+        front, tail = F.concat(scheme, F.lit("://"), place), F.col(query)
+    whole = F.when(F.col(path) == "", "/").otherwise(without_dots(F.col(path)))
+    return once(df, **{node: F.when(F.col(rest).isNotNull(), F.concat(front, whole, tail))}).drop(rest, query, kept)
 
 
 def matched_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -69,15 +91,26 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return F.array_max(fits)
 
 
-def absolute(link: Column, base: Column) -> Column:
-    """A link of a page as a whole url; relative paths start from the page's folder."""
+def absolute(df: DataFrame, link: str, base: str, out: str) -> DataFrame:
+    """``df`` plus ``out``: the url that a link names on a page of url ``base``; null for
+    none, one within the page, or one of a scheme without ``//``."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
     start = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     folder = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*/)", 1)
-    return (F.when(F.regexp_like(link, F.lit(r"(?i)^[a-z][a-z0-9+.-]*://")), link)
-            .when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link))
-            .when(F.startswith(link, F.lit("/")), F.concat(start, link))
-            .when((link != "") & ~F.startswith(link, F.lit("#")),
-                  F.concat(start, F.when(folder == "", "/").otherwise(folder), link)))
+    link, rooted = F.col(link), lambda p: F.when(p == "", "/").otherwise(p)
+    whole = (F.when(F.regexp_like(link, F.lit(r"(?i)^[a-z][a-z0-9+.-]*:")),
+                    F.when(F.regexp_like(link, F.lit(r"(?i)^[a-z][a-z0-9+.-]*://")), link))
+             .when((link == "") | F.startswith(link, F.lit("#")) | (start == ""), F.lit(None))
+             .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+             .when(F.startswith(link, F.lit("/")), F.concat(start, link))
+             .when(F.startswith(link, F.lit("?")), F.concat(start, rooted(path), link))
+             .otherwise(F.concat(start, rooted(folder), link)))
+    df = once(df, _whole=whole)
+    return once(df, **{out: F.concat(
+        F.regexp_extract("_whole", r"(?s)^(.*?://[^/?#]*)", 1),
+        without_dots(F.regexp_extract("_whole", r"(?s)^.*?://[^/?#]*([^?#]*)", 1)),
+        F.regexp_extract("_whole", r"(?s)^.*?://[^?#]*(.*)$", 1))}).drop("_whole")
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -93,8 +126,11 @@ def link_edges(pages: DataFrame) -> DataFrame:
     hopeful = pages.filter(F.regexp_like("html", F.lit(r"(?i)<link[^>]*canonical|<meta[^>]*refresh")))
     bare = F.regexp_replace(F.regexp_replace("html", r"(?s)<!--.*?-->", " "),
                             r"(?is)<(script|style|noscript|textarea)\b.*?</\1\s*>", " ")
-    tags = once(hopeful.select("url", F.explode(F.regexp_extract_all(
-        bare, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))).alias("tag")),
+    bare = once(hopeful, bare=bare).select("url", "bare")
+    based = once(bare, base_href=_attribute(F.regexp_extract("bare", r"(?is)(<base\b[^>]*\bhref\s*=[^>]*>)", 1), "href"))
+    based = absolute(based, "base_href", "url", "base").withColumn("base", F.coalesce("base", "url"))
+    tags = once(based.select("url", "base", F.explode(F.regexp_extract_all(
+        "bare", F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))).alias("tag")),
         rel=_attribute(F.col("tag"), "rel"), href=_attribute(F.col("tag"), "href"),
         equiv=_attribute(F.col("tag"), "http-equiv"), content=_attribute(F.col("tag"), "content"))
     canonical = (F.regexp_like("tag", F.lit(r"(?i)^<link\b"))
@@ -102,19 +138,18 @@ def link_edges(pages: DataFrame) -> DataFrame:
     refresh = F.regexp_like("tag", F.lit(r"(?i)^<meta\b")) & (F.lower("equiv") == "refresh")
     place = F.trim(F.regexp_extract("content", r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1))
     links = once(tags, link=F.when(canonical, F.col("href")).when(refresh, place)).filter("link is not null")
-    return (once(links, target=absolute(F.col("link"), F.col("url"))).filter("target is not null")
-            .select("url", "target"))
+    return absolute(links, "link", "base", "target").filter("target is not null").select("url", "target")
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id",
-           url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per page row: (page_id, host, path, rule, verdict)."""
+           url_col: str = "url", html_col: str = "html", forms: bool = False) -> DataFrame:
+    """Per page row: (page_id, host, path, rule, verdict). ``forms``: see above."""
     named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("html"))
-    edges = parsed(parsed(link_edges(named), "url", "a_"), "target", "b_")
+    edges = parsed(parsed(link_edges(named), "url", "a_", forms), "target", "b_", forms)
     edges = staged(edges.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), matched_rule(
         F.col("b_host"), F.col("b_path"), rules)["verdict"].alias("b_verdict")), "url-edges")
-    ruled = once(parsed(named.select("page_id", "url"), "url"),
+    ruled = once(parsed(named.select("page_id", "url"), "url", forms=forms),
                  r=matched_rule(F.col("host"), F.col("path"), rules))
     direct = ruled.select("page_id", "host", "path", F.col("r.rule").alias("rule"),
                           F.col("r.verdict").alias("verdict"), "node")

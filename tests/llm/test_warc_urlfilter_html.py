@@ -83,7 +83,7 @@ CASES = [
     (12, "http://notexample.com/en/1", None, "allow"), (13, "http://x.net/es", None, "allow"),
     (14, "http://x.net/es/", None, "block"), (15, "http://net/fr/", None, "block"),
     (16, "http://f.org/q", '<!-- <link rel="canonical" href="http://b.net/es/1"> -->', "allow"),
-    (17, "https://www.a.org/x#top", None, "block"), (18, "http://com", None, "allow"),
+    (17, "HTTP://A.org:80/x#top", None, "block"), (18, "http://com", None, "allow"),
     (19, "a://b://net/es/", None, "allow"), (20, "http://g.org/a", '<script>"<link rel=canonical href=/x>"</script>', "allow"),
     *[(100 + i, f"http://chain.org/{i}", f'<link rel=canonical href="{i + 1}">', "block") for i in range(25)],
     (200, "http://chain.org/25", '<link rel="canonical" href="http://b.net/es/9">', "block"),
@@ -99,6 +99,83 @@ def test_url_verdicts(spark):
     assert (got[7].host, got[7].path, got[18].path) == ("", "", "")
 
 
+def test_forms_of_a_url_are_one_node_on_request(spark):
+    rows = [(1, "http://a.org/x", '<link rel="canonical" href="http://b.net/es/1">'),
+            (2, "https://www.a.org/x#top", None), (3, "http://m.a.org/x?utm_source=q&gclid=1", None),
+            (4, "http://a.org/x?page=2", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for forms, expected in ((True, {1, 2, 3}), (False, {1})):
+        assert {r.page_id for r in urlfilter.judged(df, forms=forms).collect() if r.verdict == "block"} == expected
+
+
+# Reference resolution examples of RFC 3986, 5.4, and further ones; base http://a/b/c/d;p?q.
+RESOLVED = {
+    "g:h": None, "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g",
+    "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "g?y#s": "http://a/b/c/g?y#s",
+    ";x": "http://a/b/c/;x", "g;x?y#s": "http://a/b/c/g;x?y#s", "": None, "#s": None, ".": "http://a/b/c/",
+    "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/",
+    "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g",
+    "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g", "g..": "http://a/b/c/g..", "./../g": "http://a/b/g",
+    "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h",
+    "g;x=1/../y": "http://a/b/c/y", "g?y/./x": "http://a/b/c/g?y/./x", "g#s/../x": "http://a/b/c/g#s/../x",
+    "mailto:x@y.z": None, "HTTPS://Q.org/a/../b": "HTTPS://Q.org/b", "http://q.org": "http://q.org", "a//b/..": "http://a/b/c/a//",
+}
+
+
+def test_links_are_resolved(spark):
+    df = spark.createDataFrame([(link, "http://a/b/c/d;p?q") for link in RESOLVED], "link string, base string")
+    assert {r.link: r.target for r in urlfilter.absolute(df, "link", "base", "target").collect()} == RESOLVED
+
+
+def test_relative_and_based_links_spread_blocks(spark):
+    block = "http://b.net/es/1"
+    rows = [(1, "http://b.org/x?u=1", '<link rel=canonical href="?u=2">', "block"),
+            (2, "http://b.org/x?u=2", f'<meta http-equiv=refresh content="0;url={block}">', "block"),
+            (3, "http://x.net/es/7", '<link rel=canonical href="https://a.org/p/../q">', "block"),
+            (4, "https://a.org:443/q", None, "block"), (5, "https://a.org/p/../q?z", None, "allow"),
+            (6, "http://c.org/a/b", f'<base target=x><base href="http://d.org/e/"><link rel=canonical href="f">', "block"),
+            (7, "http://d.org/e/f", f'<link rel=canonical href="{block}">', "block"),
+            (8, "http://c.org/a/f", '<link rel=canonical href="javascript:void(0)">', "allow"),
+            (9, "http://b.org/?u=2", None, "allow")]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in urlfilter.judged(df).collect()} == {r[0]: r[3] for r in rows}
+
+
+def test_blocks_spread_as_in_a_plain_graph(spark):
+    """Random links between pages, some of them relative, against a union of sets."""
+    from urllib.parse import urldefrag, urljoin
+    rng = random.Random(9)
+    hosts = ["a.org", "b.org", "example.com", "www.example.com", "x.net", "y.com"]
+    paths = ["/", "/en/1", "/es/2", "/p/q", "/p/r", "/p/q/../s", "/fr/3?x=1"]
+    urls = [f"http://{h}{p}{q}" for h in hosts for p in paths for q in ("", "?k=1", "?k=2") if "?" not in p or not q]
+    norm = lambda u: urljoin("http://z/", urldefrag(u)[0])
+    for _ in range(2):
+        pages, edges = [], []
+        for i in range(120):
+            url = rng.choice(urls)
+            link = rng.choice([None, None, rng.choice(urls), rng.choice(["../s", "q", "?k=2", "/p/r", "./", "//a.org/p/q"])])
+            tag = rng.choice(['<link rel="canonical" href="{}">', "<meta http-equiv='refresh' content='1; url={}'>"])
+            pages.append((i, url, tag.format(link) if link else "<p>x"))
+            if link:
+                edges.append((norm(url), norm(urljoin(norm(url), link))))
+        root = {norm(u): norm(u) for u in [p[1] for p in pages] + [e[1] for e in edges]}
+        find = lambda u: u if root[u] == u else find(root[u])
+        for a, b in edges:
+            root[find(a)] = find(b)
+        told = defaultdict(set)
+        for u in [(p[1], norm(p[1])) for p in pages] + [(e[1], e[1]) for e in edges]:
+            rule = plain_verdict(u[0])
+            if rule[2]:
+                told[find(u[1])].add(rule[3])
+        expected = {}
+        for i, url, _ in pages:
+            rule, heard = plain_verdict(url), told[find(norm(url))]
+            expected[i] = rule[3] if rule[2] else "block" if heard == {"block"} else "allow"
+        df = spark.createDataFrame(pages, "page_id long, url string, html string")
+        got = {r.page_id: r.verdict for r in urlfilter.judged(df).collect()}
+        assert got == expected and set(got.values()) == {"allow", "block"}
+
+
 def plain_verdict(url):
     host = path = ""
     if url and "://" in url:
