@@ -172,18 +172,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           block: int = BLOCK) -> DataFrame:
-    """Per document row: (doc_id, size, source_size, target, taken); ``taken`` counts the
-    words that the mix takes of it, repeats included."""
+    """Per document row: (doc_id, size, source_size, target, taken, first_slot, n_slots).
+
+    ``taken`` counts the words that the mix takes of it, repeats included; ``first_slot``
+    (null: none) and ``n_slots`` are the schedule's slots that read some of them.
+    """
     placed, _, parts = mix(docs, id_col, text_col, source_col, block)
-    taken = parts.select("rank", "start", (F.col("end") - F.col("first")).alias("taken"))
+    taken = parts.select("rank", "start", (F.col("end") - F.col("first")).alias("taken"), "slot",
+                         F.lit(1).cast("long").alias("n_slots"))
     # A document of some words is known by its place; blank ones are taken from nowhere.
-    worded = placed.filter("size > 0").select("*", F.lit(0).cast("long").alias("taken"))
-    some = (worded.select("rank", "start", "doc_id", "size", "source_size", "target", "taken")
-            .unionByName(taken, allowMissingColumns=True).groupBy("rank", "start")
-            .agg(*[F.max(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
-                 F.sum("taken").alias("taken")).drop("rank", "start"))
-    blank = placed.filter("size = 0").select("doc_id", "size", "source_size", "target",
-                                             F.lit(0).cast("long").alias("taken"))
+    facts = ("doc_id", "size", "source_size", "target")
+    none = F.lit(0).cast("long")
+    worded = placed.filter("size > 0").select("rank", "start", *facts, none.alias("taken"), none.alias("n_slots"))
+    some = (worded.unionByName(taken, allowMissingColumns=True).groupBy("rank", "start")
+            .agg(*[F.max(c).alias(c) for c in facts], F.sum("taken").alias("taken"),
+                 F.min("slot").alias("first_slot"), F.sum("n_slots").alias("n_slots")).drop("rank", "start"))
+    blank = placed.filter("size = 0").select(*facts, none.alias("taken"), F.lit(None).cast("long").alias("first_slot"),
+                                             none.alias("n_slots"))
     return some.unionByName(blank)
 
 
@@ -209,14 +214,47 @@ chosen as (select coalesce(arg_min(lev, pos) filter (where w * lev <= cap), 0) l
 targets as (
   select source, source_size, least(w * chosen.lev, cap::double) target from weighted, chosen),
 wanted as (
-  select *, case when source_size > 0 then floor(target)::bigint // source_size else 0 end passes,
+  select *, row_number() over (order by source nulls last) - 1 r, (source_size + 1023) // 1024 blocks,
+         case when source_size > 0 then floor(target)::bigint // source_size else 0 end passes,
          case when source_size > 0 then floor(target)::bigint % source_size else 0 end rest
   from targets),
+needs as (select *, passes * blocks + (rest + 1023) // 1024 need from wanted),
+shares as (
+  select *, sum(need) over ()::hugeint slots, coalesce(sum(need) over (
+           order by r rows between unbounded preceding and 1 preceding), 0)::hugeint before
+  from needs where source_size > 0),
+points as (
+  select slot, ((slot + 1)::hugeint * 679541651741) % 1099511627776 point
+  from (select unnest(range(coalesce(max(slots), 0)::bigint)) slot from shares)),
+given as (
+  select slot, r, row_number() over (partition by r order by slot) - 1 nth
+  from points, shares
+  where point >= before * 1099511627776 // slots and point < (before + need) * 1099511627776 // slots),
+got as (select r, count(given.slot) got, max(need) need, max(slots)::bigint slots
+        from shares left join given using (r) group by r),
+turns as (
+  select slot, r, nth from given
+  union all
+  select slots + nth, r, nth from (select *, unnest(range(got, need::bigint)) nth from got)),
+slots as (
+  select slot, r, nth % blocks block,
+         case when nth = need - 1 and rest > 0 then rest - (nth - passes * blocks) * 1024 else 1024 end cut
+  from turns join needs using (r) where nth < need),
 streams as (
-  select *, coalesce(sum(size) over (partition by source order by md5('tarmac-mix:' || doc_id), doc_id, size
-                                     rows between unbounded preceding and 1 preceding), 0) start
-  from sized)
+  select *, row_number() over () row_id, coalesce(sum(size) over (
+           partition by source order by md5('tarmac-mix:' || doc_id), doc_id, size
+           rows between unbounded preceding and 1 preceding), 0) start
+  from sized),
+pieces as (
+  select row_id, r, start, size, unnest(range(start::bigint // 1024, (start + size - 1)::bigint // 1024 + 1)) block
+  from streams join wanted on streams.source is not distinct from wanted.source where size > 0),
+used as (
+  select row_id, min(slot) first_slot, count(*) n_slots
+  from pieces join slots using (r, block)
+  where least(size, block * 1024 + cut - start) > greatest(0, block * 1024 - start)
+  group by row_id)
 select doc_id, size, source_size, target,
-       (passes * size + greatest(0, least(size, rest - start)))::bigint taken
-from streams join wanted on streams.source is not distinct from wanted.source
+       (passes * size + greatest(0, least(size, rest - start)))::bigint taken,
+       first_slot::bigint first_slot, coalesce(n_slots, 0)::bigint n_slots
+from streams join wanted on streams.source is not distinct from wanted.source left join used using (row_id)
 """
