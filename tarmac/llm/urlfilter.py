@@ -13,7 +13,9 @@ of the graph when they are equal after that, the case of scheme and host, the de
 and the fragment aside. With ``forms=True`` those that differ in scheme, a leading ``www.``
 or ``m.`` or a tracking parameter only are one node too.
 
-DataFrame functions only. Rules are a fixed list that is checked for its length.
+DataFrame functions only. Up to ``IN_EXPRESSION`` rules are looked through row by row; of
+more, a table is made and joined with the host's suffixes and the path's beginnings, with
+the same result. Their number is not bounded.
 
 Defined results for odd input: a null url or one without ``://`` has empty host and path,
 no rule and no aliases (allowed); null html has no edges; repeated rows get the same
@@ -35,7 +37,8 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-MAX_RULES = 10_000  # rules held in an expression; more belong in a table
+IN_EXPRESSION = 100      # rules held in an expression; more are joined
+BROADCAST_ROWS = 100_000  # rows (a host and a length) of a rule table sent to every task
 
 
 def ascii_lower(text: Column) -> Column:
@@ -81,8 +84,6 @@ def parsed(df: DataFrame, url: str, prefix: str = "", forms: bool = False) -> Da
 
 def matched_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """The deciding rule as a struct (length, allows, rule, verdict); null when none fits."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are matched by expression")
     known = F.array(*[F.struct(F.lit(len(h) + len(p)).alias("length"), F.lit(v == "allow").alias("allows"),
                                F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"), F.lit(h).alias("host"),
                                F.lit(p).alias("path")) for h, p, v in rules])
@@ -91,6 +92,33 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return F.array_max(fits)
 
 
+def with_rule(df: DataFrame, host: str, path: str, rules: list[tuple[str, str, str]] | DataFrame,
+              out: str) -> DataFrame:
+    """``df`` plus the deciding rule as a struct (length, allows, rule, verdict), null when
+    none fits. ``rules`` is a list, or a table (host, path, verdict), of (host, path, verdict)."""
+    if isinstance(rules, list) and len(rules) <= IN_EXPRESSION:
+        return once(df, **{out: matched_rule(F.col(host), F.col(path), rules)}) if rules else df.withColumn(
+            out, F.lit(None).cast("struct<length:int,allows:boolean,rule:string,verdict:string>"))
+    if isinstance(rules, list):
+        rules = df.sparkSession.createDataFrame(rules, "host string, path string, verdict string")
+    known = rules.select(F.col("host").alias("_of"), F.col("path").alias("_begin"), F.struct(
+        (F.length("host") + F.length("path")).alias("length"), (F.col("verdict") == "allow").alias("allows"),
+        F.concat("host", "path").alias("rule"), "verdict").alias("_rule"))
+    known = staged(known.groupBy("_of", "_begin").agg(F.max("_rule").alias("_rule")), "url-rules")
+    # A url can only meet rules of its host's suffixes, and there beginnings of lengths that occur.
+    lengths = staged(known.select("_of", F.length("_begin").alias("_length")).distinct(), "url-rule-lengths")
+    lengths = F.broadcast(lengths) if lengths.count() <= BROADCAST_ROWS else lengths
+    urls = df.select(F.col(host).alias("_host"), F.col(path).alias("_path")).distinct()
+    parts = F.split("_host", r"\.", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)),
+                           lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    met = (urls.select("_host", "_path", F.explode(suffixes).alias("_of")).join(lengths, "_of")
+           .filter(F.length("_path") >= F.col("_length"))
+           .withColumn("_begin", F.substring("_path", F.lit(1), F.col("_length"))).join(known, ["_of", "_begin"])
+           .groupBy("_host", "_path").agg(F.max("_rule").alias(out)))
+    return df.join(met, (F.col(host) == F.col("_host")) & (F.col(path) == F.col("_path")), "left").drop("_host", "_path")
+
+
 def absolute(df: DataFrame, link: str, base: str, out: str) -> DataFrame:
     """``df`` plus ``out``: the url that a link names on a page of url ``base``; null for
     none, one within the page, or one of a scheme without ``//``."""
@@ -141,16 +169,15 @@ def link_edges(pages: DataFrame) -> DataFrame:
     return absolute(links, "link", "base", "target").filter("target is not null").select("url", "target")
 
 
-def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id",
+def judged(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame = RULES, id_col: str = "page_id",
            url_col: str = "url", html_col: str = "html", forms: bool = False) -> DataFrame:
-    """Per page row: (page_id, host, path, rule, verdict). ``forms``: see above."""
+    """Per page row: (page_id, host, path, rule, verdict). ``forms`` and ``rules``: see above."""
     named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("html"))
     edges = parsed(parsed(link_edges(named), "url", "a_", forms), "target", "b_", forms)
-    edges = staged(edges.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), matched_rule(
-        F.col("b_host"), F.col("b_path"), rules)["verdict"].alias("b_verdict")), "url-edges")
-    ruled = once(parsed(named.select("page_id", "url"), "url", forms=forms),
-                 r=matched_rule(F.col("host"), F.col("path"), rules))
+    edges = staged(with_rule(edges, "b_host", "b_path", rules, "b_rule").select(
+        F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("b_rule.verdict").alias("b_verdict")), "url-edges")
+    ruled = with_rule(parsed(named.select("page_id", "url"), "url", forms=forms), "host", "path", rules, "r")
     direct = ruled.select("page_id", "host", "path", F.col("r.rule").alias("rule"),
                           F.col("r.verdict").alias("verdict"), "node")
     # Only urls that some edge touches have aliases beyond their own forms. A target that

@@ -195,6 +195,28 @@ def test_url_query_equals_plain_rules(spark):
     assert urlfilter.judged(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_many_rules_are_joined(spark, monkeypatch):
+    rng = random.Random(4)
+    hosts = ["com", "a.com", "b.a.com", "", ".a", "net", "x.net", "a..com", "net."]
+    paths = ["", "/", "/e", "/en/", "/en/1", "/é/", "/é/𝒳"]
+    rules = [(rng.choice(hosts), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(25)]
+    urls = [f"http://{h}{p}{q}" for h in [*hosts, "z.b.a.com", "aa.com"] for p in paths for q in ("", "x", "?k")]
+    pages = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = pages([(i, u, None) for i, u in enumerate([*urls, None, "x"])])
+    few = ordered(map(tuple, urlfilter.judged(df, rules).collect()))
+    monkeypatch.setattr(urlfilter, "IN_EXPRESSION", 0)
+    assert ordered(map(tuple, urlfilter.judged(df, rules).collect())) == few
+    assert len({r[3] for r in few}) > 8
+    monkeypatch.setattr(urlfilter, "BROADCAST_ROWS", 0)
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    assert ordered(map(tuple, urlfilter.judged(df, table).collect())) == few
+    block = [(f"h{i}.org", "/", "block") for i in range(20_000)]
+    got = urlfilter.judged(pages([(1, "http://q.h19999.org/a", None), (2, "http://h20000.org/", None)]), block).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "allow"}
+    monkeypatch.undo()
+    assert {r.verdict for r in urlfilter.judged(df, []).collect()} == {"allow"}
+
+
 def test_minimum_cut_is_cheapest():
     rng = random.Random(2)
     for _ in range(200):
