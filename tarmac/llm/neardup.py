@@ -279,3 +279,27 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# All pairs that share a shingle; for small tables (the check runs it on sf0.01).
+ORACLE = r"""
+with recursive sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end s
+  from (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents) t),
+members as (select doc_id, len(s) n, unnest(s) g from sets where doc_id is not null),
+shared as (
+  select a.doc_id a, b.doc_id b, any_value(a.n + b.n) n, count(*) c
+  from members a join members b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (
+  select unnest([a, b]) a, unnest([b, a]) b from shared where 100 * c >= 75 * (n - c)),
+reach as (
+  select distinct doc_id a, doc_id b from sets where doc_id is not null
+  union
+  select reach.a, links.b from reach join links on links.a = reach.b),
+named as (select a doc_id, min(b) component_id from reach group by a)
+select doc_id, len(s)::bigint n_shingles, component_id,
+       component_id is not null and doc_id = component_id kept
+from sets left join named using (doc_id)
+"""

@@ -12,7 +12,7 @@ together again by Content-Length, one record in memory at a time.
 Defined results for odd input: a null payload is empty; a payload smaller than
 ``min_bytes`` is always a response; of several rows with one page id and payload, one is
 the response and the others revisit it; a null page id sorts below every other and stays
-null; payloads may hold line breaks, separators or whole WARC records; control characters
+null; ids may be of any type, text sorting by code point; payloads may hold line breaks, separators or whole WARC records; control characters
 in a url are percent-encoded in the record; an empty table gives no records.
 """
 
@@ -21,13 +21,13 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tarmac.llm.common import bounded_batches, staged, table
+from tarmac.llm.common import bounded_batches, once, staged, table
 from tarmac.session import scratch_path
 
 LINE, END = "\r\n", "\r\n\r\n"
@@ -41,18 +41,20 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-@F.arrow_udf(T.StringType())
-def _digest(payload: pa.Array) -> pa.Array:
-    return pa.array([payload_digest(p.as_py()) for p in payload], pa.string())
+def _base32(sha1: Column) -> Column:
+    """Base32 of a SHA-1 in hex: five hex digits are four of base 32."""
+    fours = [F.lpad(F.conv(F.substring(sha1, k, 5), 16, 32), 4, "0") for k in range(1, 41, 5)]
+    return F.translate(F.concat(*fours), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def payloads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
              payload_col: str = "html") -> DataFrame:
     """(page_id, url, payload, digest and byte length of the payload's UTF-8 form)."""
-    named = bounded_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+    named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
-    return named.select("*", _digest(F.col("payload").cast("binary")).alias("payload_digest"),
-                        F.octet_length("payload").cast("long").alias("payload_bytes"))
+    hashed = once(named, sha1=F.sha1(F.col("payload").cast("binary")))
+    return hashed.select("page_id", "url", "payload", _base32(F.col("sha1")).alias("payload_digest"),
+                         F.octet_length("payload").cast("long").alias("payload_bytes"))
 
 
 def resolve(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -71,7 +73,9 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 
 def _text(page: Column) -> Column:
-    return F.coalesce(page.cast("string"), F.lit("null"))
+    """An id for a field: what is no plain word in it is percent-encoded; ``*`` is a null."""
+    text = F.replace(F.url_encode(page.cast("string")), F.lit("*"), F.lit("%2A"))
+    return F.coalesce(text, F.lit("*"))
 
 
 def _record_id(page: Column, digest: Column, nth: Column) -> Column:
@@ -160,7 +164,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
 
     def packed() -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
         out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
                                          names=[f.split()[0] for f in READ.split(", ")])
         rows.clear()
@@ -168,7 +172,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     pieces = (p.as_py() for batch in batches for p in batch.column(0))
     for fields, block in records(pieces):
-        page = None if fields["Page-ID"] == "null" else int(fields["Page-ID"])
+        page = None if fields["Page-ID"] == "*" else unquote_plus(fields["Page-ID"])
         if fields["WARC-Type"] == "response":
             payload = block.partition(END.encode())[2]
             found = (payload_digest(payload), len(payload), None)
@@ -180,15 +184,16 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield packed()
 
 
-READ = ("page_id long, record_id string, record_type string, payload_digest string, "
+READ = ("page_id string, record_id string, record_type string, payload_digest string, "
         "payload_bytes long, refers_to_record string")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives under ``path``; digest and size are those of the stored
+def read_archives(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
+    """Records of the archives under ``path``, page ids being of type ``id_type``; digest and size are those of the stored
     payload, for revisits those of the response they refer to."""
-    pieces = spark.read.option("lineSep", END).text(path)
-    found = staged(pieces.select(F.col("value").cast("binary").alias("value")).mapInArrow(_read, READ), "warc-read")
+    pieces = bounded_batches(spark.read.option("lineSep", END).text(path))
+    found = staged(pieces.select(F.col("value").cast("binary").alias("value")).mapInArrow(_read, READ)
+                   .withColumn("page_id", F.col("page_id").cast(id_type)), "warc-read")
     responses = found.filter("record_type = 'response'").select(
         F.col("record_id").alias("_record"), F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
@@ -202,3 +207,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     return read_archives(spark, path)
+
+
+ORACLE = r"""
+with hashed as (
+  select page_id, coalesce(html, '') payload, sha1(coalesce(html, '')) hex from pages),
+digits as (
+  select page_id, strlen(payload)::bigint payload_bytes, array_to_string(list_transform(range(0, 32), lambda k:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, (5 * (k // 4) + 1)::int, 5))::bigint
+                >> (5 * (3 - k % 4))::bigint) & 31)::int + 1, 1)), '') payload_digest
+  from hashed),
+ranked as (
+  select *, max(page_id) over (partition by payload_digest) original,
+         row_number() over (partition by payload_digest order by page_id desc nulls last) place
+  from digits)
+select page_id, payload_bytes, payload_digest, case when place = 1 then 'response' else 'revisit' end record_type,
+       case when place > 1 then original end refers_to
+from ranked
+"""

@@ -9,9 +9,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from llm_cases import ordered
+from oracle_check import compare, duck
 
-from tarmac.llm import html, urlfilter, warc
+from tarmac.llm import html, neardup, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, text string, host int, payload_bytes string"
@@ -71,6 +73,20 @@ def test_warc_odd_pages_and_query(spark, scratch):
     assert Counter(map(tuple, warc.query(spark, SF).collect())) == expected
 
 
+def test_text_ids_round_trip(spark, scratch):
+    ids = ["b", "a b", "*", "", None, "é\r\n%2A+", "10", "9", "null"]
+    pages = [(i, "same" if k % 2 else f"own {k}") for k, i in enumerate(ids)]
+    path = scratch("warc-text-ids")
+    warc.write_archives(spark.createDataFrame(pages, "page_id string, html string").selectExpr("*", "null url"), path)
+    assert Counter(map(tuple, warc.read_archives(spark, path, "string").collect())) == expected_records(pages)
+
+
+@pytest.mark.parametrize("module", [warc, neardup], ids=lambda m: m.__name__)
+def test_equals_sql(spark, module):
+    found = compare(module.query(spark, SF), duck(SF), module.ORACLE)
+    assert found["values_match"] and found["spark_rows"] > 0, found
+
+
 CASES = [
     (1, "http://a.org/x", '<link rel="canonical" href="http://b.net/es/1">', "block"),
     (2, "http://c.org/y", "<META HTTP-EQUIV=Refresh content='0; url=http://a.org/x'>", "block"),
