@@ -4,7 +4,7 @@ A page becomes its text blocks in page order (runs of text between block-level t
 classifier turns each block into the cost of calling it boilerplate or content: a logistic
 model of the text alone (length, links, punctuation, place), fitted on blocks whose page
 marks them clearly, plus fixed evidence from the enclosing elements (landmark tags, roles,
-class and id words). The costs are the terminal capacities of a graph whose edges tie
+class and id words; names of two meanings are none). The costs are the terminal capacities of a graph whose edges tie
 neighbouring blocks and blocks of one container (weaker the farther apart they lie in the
 tree). The minimum cut, found by maximum flow, is the cheapest labelling.
 
@@ -24,7 +24,7 @@ from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,12 @@ BOILERPLATE_WORDS = frozenset("""ad ads advert adverts advertisement advertising
     sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager footer
     copyright legal disclaimer header masthead topbar toolbar comment comments commentlist reply replies respond
     disqus discussion login search rail skip""".split())
+# A name that ends in one of these may be about what another of its words says ("rail-story"),
+# unless that word is one of FIRM_WORDS: then neither is evidence.
+STORY_WORDS = frozenset("article post entry story".split())
+FIRM_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense promo promotion sponsor sponsored
+    sponsors comment comments commentlist reply replies respond disqus related recommended recommendations share
+    sharing cookie cookies consent gdpr""".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # A start tag that closes an open paragraph, and elements that close their own kind.
@@ -62,7 +68,7 @@ CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
 LANDMARK = 6.0       # log-odds of an enclosing element's evidence
 TEXT_LIMIT = 2.5     # the text model's say is at most this
 ADJACENT, SIBLING = 1.0, 0.5  # smoothness capacities
-TRAIN_PAGES = 300    # the text model is fitted on so many pages (smallest hash of the id)
+TRAIN_PAGES = 300    # the text model is fitted on so many marked pages (smallest hash of the id)
 DEFAULT_WEIGHTS = np.array([-2.0, 1.0, -4.0, 1.0, 0.3, -0.5, 0.0])
 
 
@@ -82,11 +88,18 @@ def _evidence(tag: str, attrs: str, side: int) -> int:
     if tag in BOILERPLATE_TAGS or (tag == "header" and side == 0):
         return -1
     words: set[str] = set()
+    doubtful = False
     if attrs:
         for name, a, b, c in ATTRIBUTE.findall(attrs):
             name, value = name.lower(), (a or b or c).lower()
             if name in ("class", "id"):
-                words.update(re.split(r"[^a-z0-9]+", value))
+                for whole in value.split():
+                    parts = re.findall(r"[a-z0-9]+", whole)
+                    if parts and parts[-1] in STORY_WORDS and BOILERPLATE_WORDS.intersection(
+                            parts) and not FIRM_WORDS.intersection(parts):
+                        doubtful = True
+                    else:
+                        words.update(parts)
             elif name == "role" and value in BOILERPLATE_ROLES or name == "hidden" or (
                     name == "aria-hidden" and value == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none", value)):
@@ -97,6 +110,8 @@ def _evidence(tag: str, attrs: str, side: int) -> int:
         return -1
     if words & {"comment", "comments", "reply"} and tag == "article":
         return -1
+    if doubtful and tag not in CONTENT_TAGS:
+        return 0  # left to the text and the cut
     if tag in CONTENT_TAGS or (words & CONTENT_WORDS and tag in ("div", "section", "td")):
         return 1
     return side
@@ -354,11 +369,19 @@ def _labelled(page: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.list_(pa.float64())))
 
 
+def _marked(html: Column) -> Column:
+    """Whether a page holds an element that may be evidence, as a built-in test."""
+    tags = "|".join(sorted(CONTENT_TAGS | BOILERPLATE_TAGS | {"header"}))
+    words = "|".join(sorted(CONTENT_WORDS | BOILERPLATE_WORDS | BOILERPLATE_ROLES))
+    return F.regexp_like(html, F.lit(rf"(?i)<(?:{tags})[\s/>]")) | F.regexp_like(html, F.lit(
+        rf"(?i)\s(?:class|id|role)\s*=[^<>]*?(?<![a-z0-9])(?:{words})(?![a-z0-9])|<[^<>]*\shidden\b"))
+
+
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> np.ndarray:
-    """The text model's weights from a bounded sample of pages."""
+    """The text model's weights from a bounded sample of the pages that hold evidence."""
     named = bounded_batches(pages).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"),
-                                          F.col(html_col).alias("html")).filter(F.col("html").isNotNull())
-    # The hashes alone decide which pages are read; only those are cut into blocks.
+                                          F.col(html_col).cast("string").alias("html")).filter(_marked(F.col("html")))
+    # The hashes alone decide which of them are cut into blocks.
     last = named.select("h").orderBy("h").limit(TRAIN_PAGES).agg(F.max("h")).first()[0]
     sample = (named.filter(F.col("h") <= F.lit(last)).select("h", _labelled("html").alias("rows"))
               .orderBy("h", F.hash("rows")).limit(TRAIN_PAGES).collect())

@@ -294,3 +294,38 @@ def test_implied_closes_look_at_all_open_elements():
     deep = "<b>" + "<div>" * 12
     page = f"<main><table><tr><td>one{deep}<td>two</table></main>"
     assert "\n\n".join(html.main_text(page, html.DEFAULT_WEIGHTS).split("\n\n")) == "one\n\ntwo"
+
+
+STORY = " ".join(f"The train left the town at {k} in the morning, and nobody was there to see it." for k in range(8))
+
+
+def test_names_of_two_meanings_are_left_to_the_cut():
+    for name in ("rail-trail-story", "legal-post", "header_entry x"):
+        page = f'<article><h1>T</h1><div class="{name}"><p>{STORY}</p><p>{STORY}</p></div></article>'
+        assert html.main_text(page, html.DEFAULT_WEIGHTS) == f"T\n\n{STORY}\n\n{STORY}"
+    for name in ("related-story", "ad-post", "comment-entry", "sidebar-content", "rail-trail"):
+        page = f'<article><h1>T</h1><p>{STORY}</p><div class="{name}"><p>{STORY}</p></div></article>'
+        assert html.main_text(page, html.DEFAULT_WEIGHTS) == f"T\n\n{STORY}"
+    # Of a doubtful name's blocks the cut keeps what reads as prose and drops lists of links.
+    page = f"""<div class="rail-story"><p>{STORY}</p><p>Left at nine</p><p>{STORY}</p></div><div class="skip-entry">
+    <ul><li><a href=1>Go</a><li><a href=2>Up</a><li><a href=3>Top</a><li><a href=4>More</a></ul></div>"""
+    kept = html.main_text(page, html.DEFAULT_WEIGHTS).split("\n\n")
+    assert kept == [STORY, "Left at nine", STORY]
+    found = html.blocks(page)
+    alone = np.clip(html.features(found) @ html.DEFAULT_WEIGHTS, -html.TEXT_LIMIT, html.TEXT_LIMIT) > 0
+    assert all(b.side == 0 for b in found) and not alone[1]  # the cut changed its label
+
+
+def test_training_looks_at_marked_pages_only(spark, monkeypatch):
+    marked = f"<nav><a href=1>Menu</a></nav><main><p>{STORY}</p></main>"
+    rows = [(k, "u", "<p>nothing here tells</p>") for k in range(400)] + [(1000 + k, "u", marked) for k in range(6)]
+    rows += [(2000, "u", '<div class="x side-menu">a</div>'), (2001, "u", "<p hidden>b</p>"), (2002, "u", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kept = {r[0] for r in df.filter(html._marked(df.html)).select("page_id").collect()}
+    assert kept == {*range(1000, 1006), 2000, 2001}
+    monkeypatch.setattr(html, "TRAIN_PAGES", 8)
+    got = html.train(df)
+    cut = [html.blocks(p) for _, _, p in rows if p]
+    x = np.array([html.features(c)[k] for c in cut for k, b in enumerate(c) if b.side])
+    y = np.array([float(b.side > 0) for c in cut for b in c if b.side])
+    assert np.allclose(got, html.fit(x, y)) and not np.array_equal(got, html.DEFAULT_WEIGHTS)
