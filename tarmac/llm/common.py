@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,36 +113,64 @@ def ranked(df: DataFrame, group: list[str], order: list[str], at: str = "at", si
     return dealt.join(runs, same).select(*keep, (F.col("_mid") + F.col("_shift")).alias(at), size)
 
 
+# Most edges, and bytes of them, that a task of :func:`components` joins at once.
+BLOCK_EDGES, BLOCK_BYTES = 1 << 18, 16 << 20
+
+
+def _stars(edges: pa.Table) -> pa.Table:
+    """Edges (a, b) that join what ``edges`` join: each node and the smallest node of its
+    component in ``edges``; a node that is joined with nothing and itself."""
+    nodes = pa.chunked_array(edges["a"].chunks + edges["b"].chunks, edges["a"].type).unique()
+    nodes = nodes.take(pc.sort_indices(nodes))
+    x, y = (pc.index_in(edges[c], nodes).to_numpy() for c in ("a", "b"))
+    own = np.arange(len(nodes))
+    root = own.copy()
+    while len(x):
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+        x, y = root[x], root[y]
+        x, y = x[x != y], y[x != y]
+    joined = np.bincount(root, minlength=len(nodes))[root] > 1
+    kept = np.flatnonzero((root != own) | ~joined)
+    return pa.table({"a": nodes.take(pa.array(kept)), "b": nodes.take(pa.array(root[kept]))})
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block, rows, size = [], 0, 0
+    for batch in batches:
+        block.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= BLOCK_EDGES or size >= BLOCK_BYTES:
+            yield from _stars(pa.Table.from_batches(block)).to_batches()
+            block, rows, size = [], 0, 0
+    if rows:
+        yield from _stars(pa.Table.from_batches(block)).to_batches()
+
+
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
-    """Connected components of an undirected graph: (node, component), the component
+    """Connected components of an undirected graph, stored: (node, component), the component
     being its smallest node; only nodes of ``edges`` appear. Null ends are ignored.
 
-    Alternates the large-star and small-star steps until the edge set stops changing
-    (a logarithmic number of rounds, also on long chains). A hub's edges are never
-    gathered: each step is a map-side combined minimum per node and a join, whose hot
-    keys the adaptive planner may split. Every round is stored.
+    Every round joins the edges of bounded blocks inside the tasks, so a node keeps at most
+    one edge to a smaller node for each block. While these stars don't fit together, the
+    large-star and small-star steps follow (a logarithmic number of rounds, also on long
+    chains). A hub's edges are never gathered: smallest neighbours are a map-side combined
+    minimum and a join, whose hot keys the adaptive planner may split; what is brought
+    together by a node is its edges to smaller nodes, at most one for each block.
     """
     e = (edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
          .filter("a is not null and b is not null"))
-    nodes = e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
-    e = e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = staged(e, "components")
-    seen = None
     while True:
-        state = e.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state["n"] == 0 or state == seen:
-            break
-        seen = state
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (both.filter("b > a").join(low, "a")
-                 .select(F.col("b").alias("a"), F.least("m", "a").alias("b")).filter("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-        e = staged(small, "components")
-    roots = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    return (nodes.join(roots, "node", "left")
-            .select("node", F.coalesce("m", "node").alias("component")))
+        e = staged(e.mapInArrow(_contracted, e.schema), "components")  # a >= b
+        ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = staged(e.select(F.explode(ends).alias("e")).select("e.*").groupBy("a").agg(
+            F.min("b").alias("lo"), F.max(F.expr("if(a <> b, b, null)")).alias("hi")), "components-near")
+        # Done when every node has one smaller neighbour and no other, or larger ones only.
+        if near.filter("lo < a and lo <> hi").isEmpty():
+            return near.select(F.col("a").alias("node"), F.least("a", "lo").alias("component"))
+        lower = near.filter("lo < a").select(F.col("a").alias("_node"), "lo")
+        large = e.join(lower, F.col("b") == F.col("_node"), "left").select("a", F.coalesce("lo", "b").alias("b"))
+        small = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        e = staged(small.select(F.explode(ends).alias("e")).select("e.*"), "components")

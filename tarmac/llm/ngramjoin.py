@@ -121,7 +121,7 @@ def clusters(sets: DataFrame) -> DataFrame:
              .filter("lo < hi").select("key", "lo"))
     edges = rows.join(stars, "key").select("doc_id", "lo").filter("doc_id <> lo").distinct()
     found = components(staged(edges, "join-edges"), "doc_id", "lo")
-    return staged(found.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "join-clusters")
+    return found.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -145,17 +145,16 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     of_set = ["print_a", "print_b", "n_shingles"]
     linkable = sketch.filter("n_shingles > 0 and doc_id is not null")
     classes = staged(linkable.groupBy(*of_set).agg(F.min("doc_id").alias("least")), "join-classes")
-    first = keep_ids(linkable, F.col("doc_id"), classes.select(F.col("least").alias("_least")).distinct(), "_least")
+    first = keep_ids(linkable, F.col("doc_id"), classes.select(F.col("least").alias("_least")), "_least")
     found = links(first, docs)
+    named = staged(sketch.drop("keys").join(classes, of_set, "left").select("doc_id", "n_shingles", "least"), "join-named")
     # Ids on rows of several classes tie those classes together.
-    tied = (linkable.join(classes, of_set).groupBy("doc_id")
+    tied = (named.filter("doc_id is not null").groupBy("doc_id")
             .agg(F.min("least").alias("a"), F.max("least").alias("b")).filter("a < b").select("a", "b"))
-    groups = components(found.unionByName(tied))
-    named = classes.join(groups, F.col("least") == F.col("node"), "left").select(
-        *of_set, F.coalesce("component", "least").alias("component"))
-    return sketch.drop("keys").join(named, of_set, "left").select(
+    groups = components(found.unionByName(staged(tied, "join-tied")))
+    return named.join(groups, F.col("least") == F.col("node"), "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "least", "doc_id")).alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

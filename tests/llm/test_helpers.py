@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 
-from tarmac.llm import tokens
+from tarmac.llm import common, tokens
 from tarmac.llm.common import components, running_sum
 
 
@@ -30,6 +30,42 @@ def test_components_equal_union_find(spark):
     assert got == {x: root(x) for x in parent}
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    # Chains with ids in no order, hubs of small and of large ids, edges in 40 partitions.
+    rng = random.Random(9)
+    ids = rng.sample(range(100_000), 3000)
+    edges = [(ids[i], ids[i + 1]) for i in range(1500) if i % 300]
+    edges += [(-1, i) for i in ids[1600:2200]] + [(200_000, i) for i in ids[2200:2800]] + [(i, i) for i in ids[2900:]]
+    rng.shuffle(edges)
+    expected = {}
+    for lo, hi in [(k + 1, k + 301) for k in range(0, 1500, 300)]:
+        expected |= dict.fromkeys(ids[lo:hi], min(ids[lo:hi]))
+    expected |= dict.fromkeys([-1, *ids[1600:2200]], -1)
+    expected |= dict.fromkeys([200_000, *ids[2200:2800]], min(ids[2200:2800])) | {i: i for i in ids[2900:]}
+    stored = []
+    monkeypatch.setattr(common, "staged", lambda df, name, f=common.staged: (stored.append(name), f(df, name))[1])
+    for kind in ("long", "string"):
+        rows = edges if kind == "long" else [(f"{a + 1:07}", f"{b + 1:07}") for a, b in edges]
+        df = spark.createDataFrame(rows, f"a {kind}, b {kind}").repartition(40)
+        got = components(df).collect()
+        assert len(got) == len(expected)
+        assert {r.node: r.component for r in got} == (
+            expected if kind == "long" else {f"{a + 1:07}": f"{b + 1:07}" for a, b in expected.items()})
+    assert len(stored) <= 12, stored
+
+
+def test_blocks_of_edges_keep_what_is_joined(monkeypatch):
+    rng = random.Random(6)
+    edges = pa.table([[rng.randrange(400) for _ in range(300)], [rng.randrange(400) for _ in range(300)]], ["a", "b"])
+    monkeypatch.setattr(common, "BLOCK_EDGES", 50)
+    parts = pa.Table.from_batches(common._contracted(iter(edges.to_batches(max_chunksize=20))))
+    whole = dict(zip(*(c.to_pylist() for c in common._stars(edges).columns)))
+    again = dict(zip(*(c.to_pylist() for c in common._stars(parts).columns)))
+    assert whole == again
+    assert all(whole.get(a, a) == whole.get(b, b) <= min(a, b) for a, b in zip(*(c.to_pylist() for c in edges.columns)))
+    assert all(root == node or whole.get(root, root) == root for node, root in whole.items())
+
+
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
