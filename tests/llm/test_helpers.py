@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from tarmac.llm import common, tokens
-from tarmac.llm.common import components, running_sum
+from tarmac.llm.common import components, native_components, running_sum
 
 
 def test_components_equal_union_find(spark):
@@ -54,6 +54,14 @@ def test_components_take_few_rounds(spark, monkeypatch):
     assert len(stored) <= 12, stored
 
 
+def test_native_components_run_no_python(spark, monkeypatch):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(rng.randrange(90), rng.randrange(90)) for _ in range(60)], "a long, b long")
+    expected = {tuple(r) for r in components(df).collect()}
+    monkeypatch.setattr(common, "_contracted", None)
+    assert {tuple(r) for r in native_components(df).collect()} == expected
+
+
 def test_blocks_of_edges_keep_what_is_joined(monkeypatch):
     rng = random.Random(6)
     edges = pa.table([[rng.randrange(400) for _ in range(300)], [rng.randrange(400) for _ in range(300)]], ["a", "b"])
